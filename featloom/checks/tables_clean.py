@@ -316,7 +316,7 @@ BINS = """SELECT item_id, CASE WHEN price IS NULL THEN NULL ELSE GREATEST(len(li
     ("items",),
 )
 def _(t):
-    return encode.quantile_bins(t.items.select("item_id", "price"), "price", 80)
+    return encode.quantile_bins(t.items.select("item_id", "price"), "price", 80).drop("price")
 
 
 def _bin_score_sql(sizes):

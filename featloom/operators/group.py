@@ -45,8 +45,8 @@ def group_features(df: DataFrame, specs: list[Spec], source: DataFrame | None =
     origin = df if source is None else source
     for key, group in by_key(specs).items():
         keys = list(key)
-        stats = group_stats(origin, keys, group, mark)
-        df = keyed_left_join(df, stats, keys, weight="__n" if source is None else None)
+        weight = "__n" if source is None else None
+        df = keyed_left_join(df, group_stats(origin, keys, group, mark, weight), keys, weight)
     return df
 
 

@@ -65,16 +65,13 @@ def add_block(df: DataFrame, order: list[str], blocks: int, name: str = "__block
     repeated = sorted({a for a, b in zip(cuts[0], cuts[0][1:]) if a == b})
     splittable = second is not None and not isinstance(df.schema[order[0]].dataType, T.StringType)
     if not repeated or not splittable:
-        block = F.struct(F.col("__b1").alias("a"), F.lit(0.0).alias("b"))
-        return df.withColumn(name, block).drop("__x1", "__b1")
+        return df.withColumn(name, F.col("__b1").cast("long")).drop("__x1", "__b1")
     df = df.withColumn("__x2", F.coalesce(second, F.lit(-1.7e308)))
     df = _bucket(df, "__x2", cuts[1], "__b2")
     heavy = F.col("__x1").isin(repeated)
-    block = F.struct(
-        (F.col("__b1") * 2 + F.when(heavy, 0).otherwise(1)).alias("a"),
-        F.when(heavy, F.col("__b2")).otherwise(F.lit(0.0)).alias("b"),
-    )
-    return df.withColumn(name, block).drop("__x1", "__b1", "__x2", "__b2")
+    outer = F.col("__b1") * 2 + F.when(heavy, 0).otherwise(1)
+    inner = F.when(heavy, F.col("__b2")).otherwise(F.lit(0.0))
+    return df.withColumn(name, (outer * (len(cuts[1]) + 2) + inner).cast("long")).drop("__x1", "__b1", "__x2", "__b2")
 
 
 def running_sums(
@@ -166,7 +163,13 @@ def quantile_rows(
 def exact_quantiles(
     df: DataFrame, keys: list[str], col: str, probs: dict[str, float], blocks: int | None = None
 ) -> DataFrame:
-    """The same with one column per named quantile; NULL values are skipped."""
+    """The same with one column per named quantile; NULL values are skipped.
+
+    Small sources use Spark's own percentile, which holds a group's values in one task.
+    """
+    if blocks is None and is_small(df):
+        x = F.col(col).cast("double")
+        return df.filter(x.isNotNull()).groupBy(*keys).agg(*[F.percentile(x, p).alias(n) for n, p in probs.items()])
     rows = quantile_rows(df, keys, col, list(probs.values()), blocks)
     return rows.groupBy(*keys).agg(
         *[F.max(F.when(F.col("i") == i, F.col("value"))).alias(name) for i, name in enumerate(probs)]

@@ -7,19 +7,23 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# An input the optimizer puts below this is safe in a single task.
+# A plan that reads less than this in all is safe in a single task.
 SMALL_BYTES = 32 * 1024 * 1024
 MAX_BLOCKS = 4096
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimized plan (no job is run)."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
+def source_bytes(df: DataFrame) -> int:
+    """Size of everything the optimized plan reads (file statistics, no job).
+
+    Catalyst multiplies the sizes of joined inputs, which calls any join large;
+    keyed joins and aggregates cannot outgrow their sources that way.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def is_small(df: DataFrame, bound: int = SMALL_BYTES) -> bool:
-    return estimated_bytes(df) <= bound
+    return source_bytes(df) <= bound
 
 
 def block_count(df: DataFrame) -> int:

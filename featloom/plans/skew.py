@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from featloom.plans.sizing import is_small
 
-# Catalyst broadcasts below its own threshold (10 MB by default).
-SMALL_SIDE = 8 * 1024 * 1024
-
 # A key with more than 1/HEAVY_PARTS of the rows is among the HEAVY_PARTS
 # largest keys, so a broadcast of that many feature rows covers all of them.
 HEAVY_PARTS = 1000
@@ -29,15 +26,15 @@ def keyed_left_join(
 ) -> DataFrame:
     """Left join of ``feats`` (one row per key) on ``on``.
 
-    A feature table the optimizer knows to be small is left to Spark, which
-    broadcasts it.  Otherwise the largest keys take their values from a
+    A feature table from small sources is left to Spark, which broadcasts it
+    when its measured size allows.  Otherwise the largest keys take their values from a
     broadcast of HEAVY_PARTS feature rows, and their rows (with the rows whose
     key is NULL) are spread over all partitions of the shuffled join.
     ``weight`` names a column of ``feats`` with the rows per key, which saves
     counting them; it is not part of the result.
     """
     values = [c for c in feats.columns if c not in on and c != weight]
-    if check_small and is_small(feats, SMALL_SIDE):
+    if check_small and is_small(feats):
         return df.join(feats.select(*on, *values), on, "left")
     if weight:
         hot = feats.dropna(subset=on).orderBy(F.col(weight).desc()).limit(HEAVY_PARTS)

@@ -65,7 +65,7 @@ def main():
     args = sys.argv[1:]
     folder = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     parts = [a for a in args if not a.startswith("/")]
-    spark = build_session("compare", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+    spark = build_session("compare", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
                           spark__driver__memory="16g")
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
