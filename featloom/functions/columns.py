@@ -8,6 +8,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def bind(value: Column, fn) -> Column:
+    """``fn`` of a value computed once per row; an expression that a lambda only
+    refers to would be computed again for every element."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def clip(col: Column, lo: float = 0.0, hi: float = 1.0) -> Column:
     """NULL stays NULL (least and greatest alone would skip it)."""
     return F.when(col.isNotNull(), F.greatest(F.least(col, F.lit(hi)), F.lit(lo)))

@@ -8,11 +8,14 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from featloom.functions.columns import bind
+
 # White space that separates words, and the 32 ASCII punctuation marks.
 SPACE = r"[ \t\r\n]+"
 PUNCTUATION = r"""[!"#$%&'()*+,\-./:;<=>?@\[\\\]^_`{|}~]"""
-# Symbols replaced before words are split by the sequence models.
+# Symbols blanked before the sequence models, and removed from names.
 TOKEN_FILTER = r"""[!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~\t\r\n]"""
+NAME_SYMBOLS = "[!@#$_“”¨«»®´·º½¾¿¡§£₤‘’]"
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
@@ -56,14 +59,27 @@ def mark_stats(col: str, marks: dict[str, str]) -> list[Column]:
 
 def contained_tokens(a: Column, b: Column) -> Column:
     """How many tokens of ``a`` (repeats counted) are tokens of ``b``."""
-    other = F.split(b, " ")
-    return F.size(F.filter(F.split(a, " "), lambda t: F.array_contains(other, t)))
+    tokens = F.split(a, " ")
+    return bind(F.split(b, " "), lambda other: F.size(F.filter(tokens, lambda t: F.array_contains(other, t))))
+
+
+def strip_symbols(col: Column, symbols: str = NAME_SYMBOLS, filler: str = "") -> Column:
+    """Lower case, symbols replaced by ``filler``, white space squeezed."""
+    cleaned = F.regexp_replace(F.lower(col), symbols, filler)
+    return F.trim(F.regexp_replace(cleaned, SPACE, " "))
 
 
-def strip_symbols(col: Column, symbols: str = PUNCTUATION) -> Column:
-    """Lower case, symbols to blanks, blanks squeezed."""
-    blanked = F.regexp_replace(F.lower(col), symbols, " ")
-    return F.trim(F.regexp_replace(blanked, SPACE, " "))
+def normalize_tokens(col: Column, stopwords: list[str] = (), min_len: int = 2) -> Column:
+    """Lower case, ASCII punctuation to blanks, words without stop words and short ones."""
+    tokens = words(F.regexp_replace(F.lower(col), PUNCTUATION, " "))
+    return drop_words(F.filter(tokens, lambda t: F.length(t) >= min_len), stopwords)
+
+
+def drop_words(tokens: Column, stopwords: list[str]) -> Column:
+    if not stopwords:
+        return tokens
+    stop = F.array(*[F.lit(w) for w in stopwords])
+    return F.filter(tokens, lambda t: ~F.array_contains(stop, t))
 
 
 def clean_tokens(
@@ -73,11 +89,8 @@ def clean_tokens(
     text = F.lower(col)
     if drop_numbers:
         text = strip_numbers(text)
-    tokens = F.split(text, NOT_WORD)
-    if stopwords:
-        stop = F.array(*[F.lit(w) for w in stopwords])
-        return F.filter(tokens, lambda t: (F.length(t) >= min_len) & ~F.array_contains(stop, t))
-    return F.filter(tokens, lambda t: F.length(t) >= min_len)
+    tokens = F.filter(F.split(text, NOT_WORD), lambda t: F.length(t) >= min_len)
+    return drop_words(tokens, stopwords)
 
 
 def strip_numbers(col: Column) -> Column:
