@@ -48,8 +48,8 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """The frame written to the shared folder and read back: later plans start from
+    its files (whose sizes are known) and survive the loss of executors."""
+    folder = new_folder(df.sparkSession, "stage")
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
