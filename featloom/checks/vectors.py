@@ -110,7 +110,7 @@ def _rows(t):
 )
 def _(t):
     rows = _rows(t)
-    out = nb.knn(rows.filter("split = 'train'"), rows, "vec_id", "embedding", "label", 10, exclude_self=True, cell_rows=20, block_rows=16)
+    out = nb.knn(rows.filter("split = 'train'"), rows, "vec_id", "embedding", "label", 10, exclude_self=True, cell_rows=200)
     return rounded(out.select("query_id", "rank", "neighbour_id", "dist"), "dist")
 
 

@@ -11,6 +11,7 @@ from featloom.functions.columns import bind
 from featloom.functions.text import clean_tokens, sequence_tokens, words
 from featloom.operators.joins import attach
 from featloom.plans.prefix import running_sums
+from featloom.plans.sizing import spread
 from featloom.plans.skew import keyed_left_join
 
 
@@ -32,15 +33,31 @@ def word_ngrams(tokens: Column, sizes: tuple[int, int]) -> Column:
     return bind(tokens, lambda ts: F.concat(*[ts if n == 1 else _slices(ts, n, " ") for n in every]))
 
 
-def substrings(text: Column, sizes: tuple[int, int], whole_if_short: bool) -> Column:
-    """Character n-grams of one string; a string shorter than the smallest size
-    counts once as a whole when ``whole_if_short``."""
-    every = range(sizes[0], sizes[1] + 1)
+def char_ngrams(text: Column, n_range: tuple[int, int]) -> Column:
+    """Character n-grams of a (long) text."""
+    every = range(n_range[0], n_range[1] + 1)
     # a character array is sliced in constant time, substring rescans the text
-    grams = bind(F.split(text, ""), lambda cs: F.concat(*[_slices(cs, n, "") for n in every]))
-    if not whole_if_short:
-        return grams
-    return F.when(F.length(text) < sizes[0], F.array(text)).otherwise(grams)
+    return bind(F.split(text, ""), lambda cs: F.concat(*[_slices(cs, n, "") for n in every]))
+
+
+def piece_ngrams(df: DataFrame, piece: str, sizes: tuple[int, int]) -> DataFrame:
+    """One row (``term``) per character n-gram of a short string; a string shorter
+    than the smallest size counts once as a whole.
+
+    The n-grams are numbered across the sizes, and a row's number gives its size and
+    start, so rows are generated from a plain sequence and cut by ``substring``.
+    """
+    length = F.length(piece)
+    total, firsts = F.lit(0), []
+    for n in range(sizes[0], sizes[1] + 1):
+        firsts.append((n, total))
+        total = total + F.greatest(length - (n - 1), F.lit(0))
+    rows = df.withColumn("__i", F.explode(F.sequence(F.lit(0), F.greatest(total - 1, F.lit(0)))))
+    term = F.col(piece)  # the whole string when it is short
+    for n, first in firsts:
+        cut = F.substring(F.col(piece), F.col("__i") - first + 1, F.lit(n))
+        term = F.when((F.col("__i") >= first) & (length >= n), cut).otherwise(term)
+    return rows.withColumn("term", term).drop("__i")
 
 
 def term_counts(
@@ -53,13 +70,14 @@ def term_counts(
 ) -> DataFrame:
     """(id, term, n).  'word': letter/digit runs of two or more characters;
     'char': n-grams of the squeezed text; 'char_wb': n-grams inside blank-padded words."""
+    df = spread(df.select(id_col, text))
     if analyzer == "word":
         tokens = df.select(id_col, clean_tokens(F.col(text), list(stopwords)).alias("__t"))
         grams = tokens.select(id_col, F.explode(word_ngrams(F.col("__t"), ngrams)).alias("term"))
         return grams.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("n"))
     lowered = F.regexp_replace(F.lower(text), r"[ \t\r\n]{2,}", " ")
     if analyzer == "char":
-        grams = df.select(id_col, F.explode(substrings(lowered, ngrams, False)).alias("term"))
+        grams = df.select(id_col, F.explode(char_ngrams(lowered, ngrams)).alias("term"))
         return grams.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("n"))
     if analyzer != "char_wb":
         raise ValueError(analyzer)
@@ -68,7 +86,7 @@ def term_counts(
         F.count(F.lit(1)).alias("__c")
     )
     padded = pieces.select(id_col, F.concat(F.lit(" "), "__w", F.lit(" ")).alias("__w"), "__c")
-    grams = padded.select(id_col, "__c", F.explode(substrings(F.col("__w"), ngrams, True)).alias("term"))
+    grams = piece_ngrams(padded, "__w", ngrams)
     return grams.groupBy(id_col, "term").agg(F.sum("__c").alias("n"))
 
 

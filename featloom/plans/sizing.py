@@ -26,6 +26,12 @@ def is_small(df: DataFrame, bound: int = SMALL_BYTES) -> bool:
     return source_bytes(df) <= bound
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A small input (often one file split) over all cores before costly row work;
+    larger inputs come in enough splits and are left alone."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if is_small(df) else df
+
+
 def block_count(df: DataFrame) -> int:
     """Blocks for ordered prefixes: as many as the job has shuffle partitions."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
