@@ -67,11 +67,17 @@ def bin_edges(df: DataFrame, col: str, q: int) -> DataFrame:
     return rows.agg(F.array_sort(F.collect_set("value")).alias("edges"))
 
 
-def bin_of(x: Column, edges: Column) -> Column:
-    """Right-closed bin number; the lowest edge belongs to bin 0."""
-    below = F.size(F.filter(edges, lambda e: e < x))
-    inside = (x >= F.element_at(edges, 1)) & (x <= F.element_at(edges, -1))
-    return F.when(inside, F.greatest(below - 1, F.lit(0)))
+def add_bin(df: DataFrame, x: Column, edges: str, name: str, most: int) -> DataFrame:
+    """Right-closed bin number of ``x`` among a sorted array column of at most ``most``
+    edges; the lowest edge belongs to bin 0.  Binary search, one projection per halving."""
+    out = df.withColumn("__x", x).withColumn("__below", F.lit(0))
+    step = 1 << (most.bit_length() - 1)
+    while step:
+        passed = F.get(edges, F.col("__below") + (step - 1)) < F.col("__x")
+        out = out.withColumn("__below", F.when(passed, F.col("__below") + step).otherwise(F.col("__below")))
+        step //= 2
+    inside = (F.col("__x") >= F.get(edges, F.lit(0))) & (F.col("__x") <= F.element_at(edges, -1))
+    return out.withColumn(name, F.when(inside, F.greatest(F.col("__below") - 1, F.lit(0)))).drop("__x", "__below")
 
 
 def quantile_bins(df: DataFrame, col: str, q: int, fit_on: DataFrame | None = None, exact: bool = True,
@@ -84,9 +90,8 @@ def quantile_bins(df: DataFrame, col: str, q: int, fit_on: DataFrame | None = No
         steps = [i / q for i in range(q + 1)]
         approx = source.agg(F.percentile_approx(F.col(col).cast("double"), steps, 100 * q).alias("e"))
         edges = approx.select(F.array_sort(F.array_distinct("e"))).scalar()
-    return df.withColumn("__edges", edges).withColumn(
-        name or f"{col}_bin", bin_of(F.col(col).cast("double"), F.col("__edges"))
-    ).drop("__edges")
+    rows = df.withColumn("__edges", edges)
+    return add_bin(rows, F.col(col).cast("double"), "__edges", name or f"{col}_bin", q + 1).drop("__edges")
 
 
 def bin_count_scores(df: DataFrame, col: str, y: str, sizes: list[int]) -> DataFrame:
@@ -97,9 +102,8 @@ def bin_count_scores(df: DataFrame, col: str, y: str, sizes: list[int]) -> DataF
         for q in sizes
     ]
     # few candidate sizes: each value is binned once per size
-    binned = rows.withColumn("s", F.explode(F.array(*per_size))).select(
-        F.col("s.n_bins").alias("n_bins"), bin_of(F.col("x"), F.col("s.edges")).alias("bin"), "y"
-    )
+    each = rows.withColumn("s", F.explode(F.array(*per_size))).select("x", "y", "s.n_bins", "s.edges")
+    binned = add_bin(each, F.col("x"), "edges", "bin", max(sizes) + 1)
     within = binned.groupBy("n_bins", "bin").agg(F.stddev("y").alias("sd"))
     return within.groupBy("n_bins").agg(F.avg("sd").alias("mean_std"))
 

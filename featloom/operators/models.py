@@ -237,15 +237,18 @@ def weight_grid(spark, cols: list[str], steps: int, smallest: int = 1) -> DataFr
     return grid.select("id", *[(F.col(f"w{j}") / steps).alias(c) for j, c in enumerate(cols)])
 
 
-def _moments(df: DataFrame, y: str, cols: list[str]) -> tuple[float, np.ndarray]:
-    """Rows, and the matrix of sums of products of (y, predictions)."""
+def _moments(df: DataFrame, y: str, cols: list[str], flag: Column) -> dict[bool, tuple[float, np.ndarray]]:
+    """Per value of ``flag``: rows, and the sums of products of (y, predictions)."""
     names = [y, *cols]
     pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-    row = df.agg(F.count(F.lit(1)), *[F.sum(F.col(names[i]) * F.col(names[j])) for i, j in pairs]).first()
-    m = np.zeros((len(names), len(names)))
-    for (i, j), v in zip(pairs, row[1:]):
-        m[i, j] = m[j, i] = v or 0.0
-    return float(row[0]), m
+    sums = [F.sum(F.col(names[i]) * F.col(names[j])) for i, j in pairs]
+    out = {v: (0.0, np.zeros((len(names), len(names)))) for v in (True, False)}
+    for row in df.groupBy(flag.alias("flag")).agg(F.count(F.lit(1)), *sums).collect():
+        m = np.zeros((len(names), len(names)))
+        for (i, j), v in zip(pairs, row[2:]):
+            m[i, j] = m[j, i] = v
+        out[row[0]] = (float(row[1]), m)
+    return out
 
 
 def _squared_error(m: np.ndarray, cols: list[str]) -> Column:
@@ -284,17 +287,18 @@ def _clipped_error(df: DataFrame, y: str, cols: list[str], weights: np.ndarray)
 
 
 def _usable(df: DataFrame, y: str, cols: list[str]) -> DataFrame:
-    return df.dropna(subset=[y, *cols])
+    return df.select(y, *cols).dropna()
 
 
 def blend_scores(df: DataFrame, y: str, cols: list[str], steps: int, smallest: int = 1) -> DataFrame:
     """(weights, clipped RMSE) of every point of a small grid."""
     if comb(steps + len(cols) - 1, len(cols) - 1) > 10 * CHUNK:
         raise ValueError("use blend_search for a grid of this size")
-    rows = _usable(df, y, cols)
+    rows = _usable(df, y, cols).persist()
     grid = weight_grid(df.sparkSession, cols, steps, smallest).orderBy("id").collect()
     weights = np.array([[r[c] for c in cols] for r in grid])
     scores = np.sqrt(_clipped_error(rows, y, cols, weights) / rows.count())
+    rows.unpersist()
     data = [(*[float(v) for v in w], float(s)) for w, s in zip(weights, scores)]
     return df.sparkSession.createDataFrame(data, ", ".join(f"{c} double" for c in [*cols, "rmse"]))
 
@@ -308,11 +312,10 @@ def blend_search(df: DataFrame, y: str, cols: list[str], steps: int = 100, small
     unclipped quadratic bound it.  Only weights whose lower bound does not exceed the
     smallest upper bound are evaluated with clipping, over those rows alone.
     """
-    rows = _usable(df, y, cols)
+    rows = _usable(df, y, cols).persist()
     inside = reduce(Column.__and__, [F.col(c).between(0.0, 1.0) for c in cols])
-    n_in, m_in = _moments(rows.filter(inside), y, cols)
-    outside = rows.filter(~inside)
-    n_out, m_out = _moments(outside, y, cols)
+    moments = _moments(rows, y, cols, inside)
+    (n_in, m_in), (n_out, m_out) = moments[True], moments[False]
     grid = weight_grid(df.sparkSession, cols, steps, smallest)
     low = _squared_error(m_in, cols)
     scored = grid.select("id", *cols, low.alias("low"), (low + _squared_error(m_out, cols)).alias("high"))
@@ -323,7 +326,8 @@ def blend_search(df: DataFrame, y: str, cols: list[str], steps: int = 100, small
     weights = np.array([[r[c] for c in cols] for r in left])
     error = np.array([r.low for r in left])
     if n_out:
-        error = error + _clipped_error(outside, y, cols, weights)
+        error = error + _clipped_error(rows.filter(~inside), y, cols, weights)
+    rows.unpersist()
     best = int(np.argmin(error))
     score = float(np.sqrt(max(error[best], 0.0) / (n_in + n_out)))
     data = [(*[float(v) for v in weights[best]], score)]

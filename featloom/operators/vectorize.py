@@ -128,7 +128,7 @@ def prune_support(vocab: DataFrame, max_features: int, min_df: int = 0) -> DataF
 
 def restrict(tc: DataFrame, vocab: DataFrame) -> DataFrame:
     """Rows whose term is in the vocabulary, with its document frequency."""
-    joined = keyed_left_join(tc, vocab.select("term", "df"), ["term"], weight=None)
+    joined = keyed_left_join(tc, vocab.select("term", "df", F.col("df").alias("__n")), ["term"], weight="__n")
     return joined.filter(F.col("df").isNotNull())
 
 
@@ -192,19 +192,18 @@ def hash_terms(
 
 
 def word_index(df: DataFrame, text: str, num_words: int) -> DataFrame:
-    """(term, code): codes 1 .. num_words - 1 by frequency, ties by term."""
+    """(term, code, n): codes 1 .. num_words - 1 by frequency n, ties by term."""
     tokens = df.select(F.explode(sequence_tokens(F.col(text))).alias("term"))
     counts = tokens.groupBy("term").agg((-F.count(F.lit(1))).alias("__neg"))
     ranked = running_sums(counts, [], ["__neg", "term"], {"code": F.lit(1)})
-    return ranked.filter(F.col("code") < num_words).select("term", F.col("code").cast("int"))
+    return ranked.filter(F.col("code") < num_words).select("term", F.col("code").cast("int"), (-F.col("__neg")).alias("n"))
 
 
 def token_ids(df: DataFrame, id_col: str, text: str, num_words: int, maxlen: int, fit_on: DataFrame | None = None) -> DataFrame:
     """Codes of the known tokens, cut in front and padded in front to ``maxlen``."""
     index = word_index(df if fit_on is None else fit_on, text, num_words)
     tokens = df.select(id_col, F.posexplode(sequence_tokens(F.col(text))).alias("__p", "term"))
-    # num_words bounds the index, so its size decides the join, not the data's
-    known = attach(tokens, index, "term").filter(F.col("code").isNotNull())
+    known = attach(tokens, index, "term", weight="n").filter(F.col("code").isNotNull())
     seqs = known.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("__p", "code"))).alias("__s"))
     codes = F.coalesce(F.transform("__s", lambda s: s["code"]), F.array().cast("array<int>"))
     last = F.when(F.size(codes) > maxlen, F.slice(codes, -maxlen, maxlen)).otherwise(codes)
