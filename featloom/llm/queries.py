@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from featloom.llm import line_rules
+from featloom.llm import bitslice, decontaminate, line_rules
 from featloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,17 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op5_winnow_decontaminate", decontaminate.SQL)
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    bench = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return decontaminate.report(documents(spark, folder), bench).drop("mark")
+
+
+@query("op8_bitsliced_simhash")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return bitslice.report(documents(spark, folder))
+
+
 @query("op10_line_rules", line_rules.REPORT_SQL)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return line_rules.report(documents(spark, folder))
