@@ -8,12 +8,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # fixed values: the white space of the contracts, x20 and x09 to x0D
 SPACE_CLASS = r"\x20\x09-\x0D"
-LAST_ID = 2**63 - 1
+LAST_ID = 2**63 - 1  # where rows without an id stand in the order of ids
+MAX_BITS = 2**27
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -60,3 +61,55 @@ def mix(x: np.ndarray) -> np.ndarray:
     x ^= x >> np.uint64(27)
     x *= MIX2
     return x ^ (x >> np.uint64(31))
+
+
+def bitmap(hashes: DataFrame, name: str) -> np.ndarray:
+    """A bit for each value of the hash column ``name``: some 16 bits a value, at most MAX_BITS (16 MB) in all.
+
+    Spark puts the words together; the driver gets at most MAX_BITS / 64 rows.
+    """
+    bits, count = 2**16, hashes.count()
+    while bits < min(16 * count, MAX_BITS):
+        bits *= 2
+    at = hashes.select(F.col(name).bitwiseAND(F.lit(bits - 1)).alias("b"))
+    one = F.expr("shiftleft(1L, cast(b & 63 AS int))")
+    table = at.groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(one).alias("v")).toPandas()
+    out = np.zeros(bits // 64, np.uint64)
+    out[table["w"].to_numpy(np.int64)] = table["v"].to_numpy(np.int64).view(np.uint64)
+    return out
+
+
+def may_hold(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the bit of each unsigned hash is set: always for values of the bitmap, seldom for others."""
+    at = hashes & np.uint64(len(table) * 64 - 1)
+    return (table[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def near_keys(rows: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """``rows`` whose hash column ``name`` may be among those of ``keys``, so that fewer texts are shuffled by the join that follows."""
+    bits = rows.sparkSession.sparkContext.broadcast(bitmap(keys.select(name).distinct(), name))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = batch.column(batch.schema.get_field_index(name)).to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(may_hold(bits.value, hashes.view(np.uint64))))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def prefix_sums_by(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """``df`` with the running sum of each expression in the total order ``order``, the own row included.
+
+    Rows are dealt out by ranges of the order and numbered inside their range; only
+    the totals of the ranges, one row for each partition, meet in one task.
+    """
+    inputs = {f"o_{i}": c for i, c in enumerate(order)} | {f"v_{n}": c for n, c in sums.items()}
+    keys = [f"o_{i}" for i in range(len(order))]
+    rows = df.withColumns(inputs).repartitionByRange(*keys).withColumn("o_part", F.spark_partition_id())
+    rows = stored(rows, "ranges")
+    totals = rows.groupBy("o_part").agg(*[F.sum(f"v_{n}").alias(f"t_{n}") for n in sums])
+    before = Window.orderBy("o_part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select("o_part", *[F.coalesce(F.sum(f"t_{n}").over(before), F.lit(0)).alias(f"c_{n}") for n in sums])
+    inside = Window.partitionBy("o_part").orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({f"i_{n}": F.sum(f"v_{n}").over(inside) for n in sums}).join(carry, "o_part")
+    return rows.select(*df.columns, *[(F.col(f"i_{n}") + F.col(f"c_{n}")).alias(n) for n in sums])

@@ -7,8 +7,8 @@ around a matched anchor are joined with the benchmark's by their words, and the
 hits are put together to the document's hit words.  Nothing is sampled: a span
 of at least one window that both sides share is always found.
 
-The anchors of the benchmark also go to the tasks as a bitmap of at most
-``MAX_BITS`` bits; it spares rows that cannot join and decides nothing.
+The anchors of the benchmark also go to the tasks as a bitmap of bounded
+size (``common.MAX_BITS``); it spares rows that cannot join and decides nothing.
 
 Cases: NULL and empty texts have no words, n_hit 0 and are not contaminated; an
 item without words has no window; NULL item ids hit but are not listed; an
@@ -26,11 +26,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featloom.llm.common import rows_of, stored
+from featloom.llm.common import bitmap, may_hold, rows_of, stored
 from featloom.llm.winnow import find_runs, rolling
 
 WINDOW, GRAM = 13, 5
-MAX_BITS = 2**27
 GROUP_WORDS = 300_000
 # words are digits, letters and all beyond ASCII; A-Z is lower-cased, the rest of ASCII separates
 TABLE = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
@@ -90,32 +89,14 @@ def benchmark_windows(bench: DataFrame) -> DataFrame:
     return rows.groupBy("fp", "window", "size").agg(F.collect_set("item").alias("items"))
 
 
-def bitmap(fingerprints: DataFrame) -> np.ndarray:
-    """A bit for each hash of ``fp``, at most MAX_BITS, put together in Spark 64 at a time."""
-    bits = 2**16
-    count = fingerprints.count()
-    while bits < min(16 * count, MAX_BITS):
-        bits *= 2
-    at = F.col("fp").bitwiseAND(F.lit(bits - 1))
-    one = F.expr("shiftleft(1L, cast(b & 63 AS int))")
-    rows = fingerprints.select(at.alias("b")).groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(one).alias("v"))
-    table = rows.toPandas()
-    out = np.zeros(bits // 64, np.uint64)
-    out[table["w"].to_numpy(np.int64)] = table["v"].to_numpy(np.int64).view(np.uint64)
-    return out
-
-
 def matches(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """(doc_id, mark, n_words, hits) for each row of ``docs``; hits are windows whose fingerprint the benchmark may have."""
     short = sorted(r.size for r in bench.where(F.col("size") < WINDOW).select(F.col("size").alias("size")).distinct().collect())
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(bench.select("fp").distinct()))
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(bench.select("fp").distinct(), "fp"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = bits.value
-        mask = np.uint64(len(table) * 64 - 1)
-
-        def passes(fp: np.ndarray) -> np.ndarray:
-            return (table[(fp & mask) >> np.uint64(6)] >> (fp & np.uint64(63)) & np.uint64(1)).astype(bool)
+        passes = lambda fp: may_hold(table, fp)
 
         def flush(ids: list, marks: list, groups: list) -> pa.RecordBatch:
             hits = [[{"fp": f, "size": s, "window": w, "starts": at} for (f, s, w), at in d.items()] for d in windows_of(groups, short, passes)]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from featloom.llm import bitslice, decontaminate, line_rules
+from featloom.llm import bitslice, decontaminate, line_dedup, line_rules, mixing
 from featloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,12 +23,22 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_pivotal_mixing")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.report(documents(spark, folder))
+
+
 @query("op5_winnow_decontaminate", decontaminate.SQL)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     bench = spark.read.parquet(f"{folder}/benchmark.parquet")
     return decontaminate.report(documents(spark, folder), bench).drop("mark")
 
 
+@query("op7_deletion_line_dedup", line_dedup.REPORT_SQL)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.report(documents(spark, folder))
+
+
 @query("op8_bitsliced_simhash")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return bitslice.report(documents(spark, folder))
