@@ -1,7 +1,7 @@
 """SimHash near-duplicates, compared bit plane by bit plane.
 
-Fingerprints within the radius agree on enough of their blocks (pigeonhole), so
-only those that agree on some choice of blocks meet.  Where they meet, the bits
+Fingerprints within the radius agree on one of five blocks of bits (pigeonhole),
+so only those that share a block meet.  Where they meet, the bits
 of many fingerprints stand in vertical planes, 64 to a machine word; carry-save
 counters add up the differing bits of 64 pairs at a time, and words whose pairs
 have all passed the radius are dropped.
@@ -15,8 +15,6 @@ columns are ignored by ``fingerprints`` and kept by ``deduplicate``.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
-from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -77,20 +75,9 @@ def block_masks(bits: list[int], blocks: int) -> list[int]:
     return [sum(1 << int(b) for b in part) for part in cut]
 
 
-def choices(count: int, radius: int = RADIUS) -> list[int]:
-    """Masks, one of which two fingerprints within the radius agree on entirely.
-
-    With ``m`` blocks at least m - radius agree.  More blocks give longer masks, so
-    fewer chance meetings, and more copies of each fingerprint: the smallest m is
-    taken that leaves some 16 chance meetings for a fingerprint and mask.
-    """
-    m = radius + 1
-    while m < radius + 4 and count > 16 * 2 ** (64 * (m - radius) // m):
-        m += 1
-    parts = block_masks(list(range(64)), m)
-    picks = [sum(p) for p in combinations(parts, m - radius)]
-    assert len(picks) == comb(m, radius)
-    return picks
+def choices(radius: int = RADIUS) -> list[int]:
+    """Masks, one of which two fingerprints within the radius agree on entirely: one block more than bits may differ."""
+    return block_masks(list(range(64)), radius + 1)
 
 
 def signed(mask: int) -> int:
@@ -206,7 +193,7 @@ def links(nodes: DataFrame, group: int = GROUP) -> DataFrame:
     Keys that more than ``group`` fingerprints share are cut again by the blocks of
     their remaining bits; what is still larger is cut into chunks that meet in pairs.
     """
-    masks = choices(nodes.count())
+    masks = choices()
     fp = F.col("fp")
 
     def key(*parts: Column) -> Column:
