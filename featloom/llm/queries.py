@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from featloom.llm import bitslice, decontaminate, line_dedup, line_rules, mixing
+from featloom.llm import bitslice, decontaminate, line_dedup, line_rules, mixing, seed_extend
 from featloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,11 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return bitslice.report(documents(spark, folder))
 
 
+@query("op9_seed_extend_substrings", seed_extend.SQL)
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return seed_extend.report(documents(spark, folder))
+
+
 @query("op10_line_rules", line_rules.REPORT_SQL)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return line_rules.report(documents(spark, folder))
