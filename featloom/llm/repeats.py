@@ -3,9 +3,11 @@
 Windows with one anchor that follow each other are a run; a run's context is all
 its symbols.  Runs with equal contexts (anchor at the same place) are equal as a
 whole: all but the first repeat.  Of each different context only its first run
-goes on, and only if its anchor occurs in another context as well; its windows
-are then compared one by one, by hash.  A window equals another only if their
-anchors do, so no repeat is lost.
+goes on, and only if its anchor occurs in another context as well.  Its windows
+are put into blocks by their distance to the anchor; a block goes on if what all
+its windows share occurs elsewhere, too, and its windows are then compared one by
+one, by hash.  A window equals another only if anchor, distance and shared part
+are equal, so no repeat is lost.
 
 Skew: tasks reduce what they read to the first run of each context before
 anything is shuffled; runs are dealt out by ranges of (anchor, context), so that
@@ -26,6 +28,8 @@ from featloom.llm.common import LAST_ID, mix, near_keys, rows_of, stored
 from featloom.llm.winnow import BASE, find_runs, prefix_sums, span_hash
 
 TAGS = 2**16
+BLOCK = 8  # distances to the anchor that are looked at together
+WIDE = 4096  # over the length of any window
 RUNS = 400_000  # that a task holds before it reduces and passes them on
 SECOND = np.uint64(0xD6E8FEB86659FD93)
 
@@ -62,13 +66,18 @@ def merged(d: np.ndarray, tag: np.ndarray, first: np.ndarray, last: np.ndarray)
     return d[begin], tag[begin], first[begin], np.maximum.reduceat(last, begin)
 
 
-def reduced(a: np.ndarray, b: np.ndarray, d: np.ndarray, tag: np.ndarray, first: np.ndarray, last: np.ndarray, within: bool) -> pa.RecordBatch:
-    """Rows (a, b, d, pos, span, flag): the first of each class (a, b), and merged ranges of those that repeat it."""
+def reduced(
+    a: np.ndarray, b: np.ndarray, d: np.ndarray, tag: np.ndarray, first: np.ndarray, last: np.ndarray, offset: np.ndarray, within: bool
+) -> pa.RecordBatch:
+    """Rows (a, b, d, pos, span, flag): the first of each class (a, b), and merged ranges of those that repeat it.
+
+    The span of the former also holds the anchor's distance from the first start.
+    """
     order = np.lexsort((first, tag, d))
-    a, b, d, tag, first, last = (x[order] for x in (a, b, d, tag, first, last))
+    a, b, d, tag, first, last, offset = (x[order] for x in (a, b, d, tag, first, last, offset))
     if len(d):
         same = np.concatenate(([False], (np.diff(d) == 0) & (np.diff(tag) == 0) & (np.diff(first) == 0)))
-        a, b, d, tag, first, last = (x[~same] for x in (a, b, d, tag, first, last))
+        a, b, d, tag, first, last, offset = (x[~same] for x in (a, b, d, tag, first, last, offset))
     by = np.argsort(mix(a.view(np.uint64) ^ mix(b.view(np.uint64))), kind="stable")
     sa, sb = a[by], b[by]
     new = np.concatenate((np.ones(min(1, len(by)), bool), (np.diff(sa) != 0) | (np.diff(sb) != 0)))
@@ -86,7 +95,7 @@ def reduced(a: np.ndarray, b: np.ndarray, d: np.ndarray, tag: np.ndarray, first:
         np.concatenate((b[keep], np.zeros(len(fd), np.int64))),
         np.concatenate((d[keep], fd)),
         np.concatenate((first[keep] * TAGS + tag[keep], ff * TAGS + ft)),
-        np.concatenate(((last - first)[keep], fl - ff)).astype(np.int32),
+        np.concatenate(((offset * WIDE + last - first)[keep], fl - ff)).astype(np.int32),
         np.concatenate((np.zeros(int(keep.sum()), bool), np.ones(len(fd), bool))),
     ]
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "d", "pos", "span", "flag"])
@@ -96,7 +105,7 @@ ROWS = "a long, b long, d long, pos long, span int, flag boolean"
 
 
 class Collector:
-    """Gathers arrays (a, b, d, tag, first, last) and gives reduced batches."""
+    """Gathers arrays (a, b, d, tag, first, last, offset) and gives reduced batches."""
 
     def __init__(self, within: bool):
         self.parts, self.size, self.within = [], 0, within
@@ -117,7 +126,7 @@ def _runs(spec: Spec):
 
         def look(ids: list, tags: list, parts: list) -> None:
             r = find_runs(parts, spec.length, spec.gram)
-            out.add(r.anchor.view(np.int64), r.context.view(np.int64), np.array(ids, np.int64)[r.doc], np.array(tags, np.int64)[r.doc], r.first, r.last)
+            out.add(r.anchor.view(np.int64), r.context.view(np.int64), np.array(ids, np.int64)[r.doc], np.array(tags, np.int64)[r.doc], r.first, r.last, r.offset)
 
         ids, tags, parts, size = [], [], [], 0
         for d, tag, text in rows_of(batches, "d", "tag", "text"):
@@ -184,50 +193,88 @@ def _classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield send(held[2][rest], held[3][rest], held[4][rest], np.ones(int(rest.sum()), bool))
 
 
+def _blocks(spec: Spec):
+    """(c, d, pos, span): blocks of windows of the open runs; c is the hash of what a block's windows share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+
+        def flush() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts)], names=["c", "d", "pos", "span"])
+
+        for d, tag, text, first, span in rows_of(batches, "d", "tag", "text", "first", "span"):
+            part = spec.symbols(text)
+            sums = prefix_sums(part)
+            f, s = np.array(first, np.int64), np.array(span, np.int64)
+            anchor, last = f + s // WIDE, f + s % WIDE
+            low, high = (anchor - last) // BLOCK, (anchor - f) // BLOCK
+            of = np.repeat(np.arange(len(f)), high - low + 1)
+            nth = np.arange(len(of)) - np.repeat(np.cumsum(high - low + 1) - (high - low + 1), high - low + 1)
+            block = low[of] + nth
+            near = anchor[of] - block * BLOCK  # the last start of the whole block
+            begin, end = np.maximum(f[of], near - BLOCK + 1), np.minimum(last[of], near)
+            c = mix(span_hash(sums, near, near - BLOCK + 1 + spec.length) ^ mix(block.astype(np.uint64)))
+            parts.append((c.view(np.int64), np.full(len(of), d, np.int64), begin * TAGS + tag, (end - begin).astype(np.int32)))
+            size += len(of)
+            if size > RUNS:
+                yield flush()
+                parts, size = [], 0
+        if parts:
+            yield flush()
+
+    return run
+
+
 def _windows(spec: Spec):
-    """Single windows of the open ranges of each text."""
+    """Single windows of the ranges of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Collector(spec.within)
-        for d, tag, text, ranges in rows_of(batches, "d", "tag", "text", "ranges"):
+        for d, tag, text, first, span in rows_of(batches, "d", "tag", "text", "first", "span"):
             part = spec.symbols(text)
             sums = prefix_sums(part), prefix_sums(mix(part * SECOND))
-            for at in range(0, len(ranges), 4096):
-                some = [np.arange(r["first"], r["last"] + 1) for r in ranges[at : at + 4096] if r["open"]]
-                if some:
-                    start = np.concatenate(some)
-                    a, b = (mix(span_hash(s, start, start + spec.length)).view(np.int64) for s in sums)
-                    out.add(a, b, np.full(len(start), d, np.int64), np.full(len(start), tag, np.int64), start, start)
+            n = np.array(span, np.int64) + 1
+            start = np.repeat(np.array(first, np.int64), n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            a, b = (mix(span_hash(s, start, start + spec.length)).view(np.int64) for s in sums)
+            out.add(a, b, np.full(len(start), d, np.int64), np.full(len(start), tag, np.int64), start, start, np.zeros_like(start))
             yield from out.batches(RUNS)
         yield from out.batches(0)
 
     return run
 
 
+def _with_texts(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """(d, tag, text, first, span) of the documents in ``found`` (d, pos, span), which becomes a list for each."""
+    first, tag = F.shiftright("pos", 16), F.col("pos").bitwiseAND(F.lit(TAGS - 1))
+    lists = found.groupBy("d", tag.alias("tag")).agg(F.collect_list(F.struct(first.alias("first"), "span")).alias("r"))
+    lists = stored(lists.select("d", "tag", F.col("r.first").alias("first"), F.col("r.span").alias("span"), F.xxhash64("d", "tag").alias("key")), "lists")
+    texts = near_keys(rows, lists, "key").dropDuplicates(["d", "tag"])
+    return texts.join(lists.drop("key"), ["d", "tag"]).select("d", "tag", "text", "first", "span")
+
+
 def repeated_starts(docs: DataFrame, spec: Spec) -> DataFrame:
     """(d, tag, key, ranges): for documents with any, the sorted ranges (first, last) of starts of windows that also start earlier."""
     rows = keyed(docs)
     runs = rows.select("d", "tag", "text").mapInArrow(_runs(spec), ROWS)
     runs = runs.repartitionByRange("a", "b").sortWithinPartitions("a", "b", "d")
-    found = runs.mapInArrow(_classify, "d long, pos long, span int, open boolean")
-    first, tag = F.shiftright("pos", 16), F.col("pos").bitwiseAND(F.lit(TAGS - 1))
-    span = F.struct(first.alias("first"), (first + F.col("span")).alias("last"), F.col("open").alias("open"))
-    found = found.groupBy("d", tag.alias("tag")).agg(F.collect_list(span).alias("ranges"))
-    found = stored(found.withColumn("key", F.xxhash64("d", "tag")), "runs")
+    found = stored(runs.mapInArrow(_classify, "d long, pos long, span int, open boolean"), "runs")
+
+    texts = _with_texts(rows, found.where("open").drop("open"))
+    blocks = stored(texts.mapInArrow(_blocks(spec), "c long, d long, pos long, span int"), "blocks")
+    others = F.count(F.lit(1)) > 1 if spec.within else F.min("d") < F.max("d")
+    shared = blocks.groupBy("c").agg(others.alias("shared")).where("shared")
+    texts = _with_texts(rows, blocks.join(shared, "c", "left_semi").select("d", "pos", "span"))
+    single = stored(texts.mapInArrow(_windows(spec), ROWS), "windows")
 
-    opened = found.where(F.exists("ranges", lambda r: r["open"]))
-    texts = near_keys(rows, opened, "key").dropDuplicates(["d", "tag"]).join(opened.drop("key"), ["d", "tag"])
-    single = stored(texts.select("d", "tag", "text", "ranges").mapInArrow(_windows(spec), ROWS), "windows")
     fresh = single.where("NOT flag")
-    least = fresh.groupBy("a", "b").agg(F.min("d").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = fresh.join(least, ["a", "b"]).where("d > least").select("d", "pos", "span")
+    least = fresh.groupBy("a", "b").agg(F.min("d").alias("least"), F.max("d").alias("most")).where("least < most")
+    later = fresh.join(least, ["a", "b"]).where("d > least").select("d", "pos", F.lit(0).alias("span"))
     later = later.unionByName(single.where("flag").select("d", "pos", "span"))
+    later = later.unionByName(found.where("NOT open").select("d", "pos", "span"))
+    first, tag = F.shiftright("pos", 16), F.col("pos").bitwiseAND(F.lit(TAGS - 1))
     pair = F.struct(first.alias("first"), (first + F.col("span")).alias("last"))
-    one = later.groupBy("d", tag.alias("tag")).agg(F.collect_list(pair).alias("ranges"))
-    closed = F.transform(F.filter("ranges", lambda r: ~r["open"]), lambda r: F.struct(r["first"].alias("first"), r["last"].alias("last")))
-    whole = found.select("d", "tag", closed.alias("ranges")).where(F.size("ranges") > 0)
-    both = whole.unionByName(one).groupBy("d", "tag").agg(F.array_sort(F.flatten(F.collect_list("ranges"))).alias("ranges"))
-    return stored(both.withColumn("key", F.xxhash64("d", "tag")), "ranges")
+    ranges = later.groupBy("d", tag.alias("tag")).agg(F.array_sort(F.collect_list(pair)).alias("ranges"))
+    return stored(ranges.withColumn("key", F.xxhash64("d", "tag")), "ranges")
 
 
 def covered_spans(ranges: list, length: int) -> list[tuple[int, int]]:

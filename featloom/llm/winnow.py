@@ -65,6 +65,7 @@ class Runs:
     doc: np.ndarray
     first: np.ndarray
     last: np.ndarray
+    offset: np.ndarray  # of the anchor from the first start
     anchor: np.ndarray  # hash of the anchor's k-gram
     context: np.ndarray  # hash of all symbols of the run's windows and of the anchor's place in them
 
@@ -96,7 +97,7 @@ def _piece(symbols: np.ndarray, offsets: np.ndarray, length: int, k: int) -> Run
     first, last, at, of = start[begin], start[stop], at[begin], of[begin]
     shape = mix(((at - first).astype(np.uint64) << np.uint64(32)) | (last - first).astype(np.uint64))
     context = mix(span_hash(prefix_sums(symbols), first, last + length) ^ shape)
-    return Runs(of, first - offsets[of], last - offsets[of], grams[at], context)
+    return Runs(of, first - offsets[of], last - offsets[of], at - first, grams[at], context)
 
 
 def find_runs(parts: list[np.ndarray], length: int, k: int) -> Runs:
@@ -129,5 +130,5 @@ def find_runs(parts: list[np.ndarray], length: int, k: int) -> Runs:
     flush(len(parts))
     if not found:
         zero = np.zeros(0, np.int64)
-        return Runs(zero, zero, zero, zero.astype(np.uint64), zero.astype(np.uint64))
-    return Runs(*(np.concatenate([getattr(r, f) for r in found]) for f in ("doc", "first", "last", "anchor", "context")))
+        return Runs(zero, zero, zero, zero, zero.astype(np.uint64), zero.astype(np.uint64))
+    return Runs(*(np.concatenate([getattr(r, f) for r in found]) for f in ("doc", "first", "last", "offset", "anchor", "context")))
