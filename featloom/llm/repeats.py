@@ -182,7 +182,7 @@ def _classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give = ~again & several[group] & ~ghost & ~wait
         again &= ~ghost
         out = give | again
-        yield send(d[out], pos[out], span[out], give[out])
+        yield send(d[out], pos[out], np.where(give, span, span % WIDE)[out], give[out])
         if ends_open:
             mark = np.array([first[-1]])
             held, many = [x[mark] for x in now] + [np.ones(1, bool)], True
