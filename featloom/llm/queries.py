@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from featloom.llm import bitslice, decontaminate, line_dedup, line_rules, mixing, prefix_free, seed_extend
+from featloom.llm import bitslice, decontaminate, line_dedup, line_rules, mixing, prefix_free, seed_extend, suffix_tree
 from featloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.report(documents(spark, folder))
 
 
+@query("op2_suffix_tree_scores")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_tree.report(documents(spark, folder))
+
+
 @query("op3_prefix_free_parsing")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_free.report(documents(spark, folder))
