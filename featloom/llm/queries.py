@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from featloom.llm import bitslice, decontaminate, line_dedup, line_rules, mixing, prefix_free, seed_extend, suffix_tree
+from featloom.llm import bitslice, decontaminate, importance, line_dedup, line_rules, mixing, prefix_free, seed_extend, suffix_tree
 from featloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,11 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(documents(spark, folder), bench).drop("mark")
 
 
+@query("op6_importance_resampling")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.report(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
 @query("op7_deletion_line_dedup", line_dedup.REPORT_SQL)
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.report(documents(spark, folder))
