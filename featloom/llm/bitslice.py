@@ -234,7 +234,7 @@ def near_duplicates(docs: DataFrame, group: int = GROUP) -> DataFrame:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` for each component: the one whose id names it; rows without an id stay."""
     found = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("keep_id")).distinct()
-    kept = docs.join(found, docs["doc_id"] == F.col("keep_id"), "left_semi").dropDuplicates(["doc_id"])
+    kept = docs.join(found, docs["doc_id"] == found["keep_id"], "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where("doc_id IS NULL"))
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from featloom.llm import bitslice, decontaminate, importance, line_dedup, line_rules, mixing, prefix_free, seed_extend, suffix_tree
+from featloom.llm import bitslice, decontaminate, importance, line_dedup, line_rules, mixing, prefix_free, secrets, seed_extend, suffix_tree
 from featloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,11 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_free.report(documents(spark, folder))
 
 
+@query("op4_forest_secret_scan")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.report(documents(spark, folder))
+
+
 @query("op5_winnow_decontaminate", decontaminate.SQL)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     bench = spark.read.parquet(f"{folder}/benchmark.parquet")
