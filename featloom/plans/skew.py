@@ -6,48 +6,55 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from featloom.plans.sizing import is_small
+from pyspark.sql import types as T
 
 # A key with more than 1/HEAVY_PARTS of the rows is among the HEAVY_PARTS
 # largest keys, so a broadcast of that many feature rows covers all of them.
 HEAVY_PARTS = 1000
-SPREAD = 100_000
 
 
-def largest_keys(df: DataFrame, on: list[str], parts: int = HEAVY_PARTS) -> DataFrame:
+def largest_keys(df: DataFrame, on: list[str], parts: int | None = None) -> DataFrame:
     """The ``parts`` keys with most rows."""
     sizes = df.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
-    return sizes.orderBy(F.col("__n").desc()).limit(parts).drop("__n")
+    return sizes.orderBy(F.col("__n").desc()).limit(parts or HEAVY_PARTS).drop("__n")
+
+
+def _same_type(df: DataFrame, other: DataFrame, name: str) -> Column:
+    """The column in a form that hashes alike on both sides if the values are equal."""
+    mine, theirs = df.schema[name].dataType, other.schema[name].dataType
+    col = F.col(name)
+    if mine != theirs:
+        both_numbers = isinstance(mine, T.NumericType) and isinstance(theirs, T.NumericType)
+        return col.cast("double") + 0.0 if both_numbers else col.cast("string")
+    return col + 0.0 if isinstance(mine, (T.FloatType, T.DoubleType)) else col  # -0.0 equals 0.0
 
 
-def keyed_left_join(
-    df: DataFrame, feats: DataFrame, on: list[str], weight: str | None = None, check_small: bool = True
-) -> DataFrame:
-    """Left join of ``feats`` (one row per key) on ``on``.
+def keyed_left_join(df: DataFrame, feats: DataFrame, on: list[str], weight: str | None = None) -> DataFrame:
+    """Left join of ``feats`` (one row per key) on ``on``; one plan for all sizes.
 
-    A feature table from small sources is left to Spark, which broadcasts it
-    when its measured size allows.  Otherwise the largest keys take their values from a
-    broadcast of HEAVY_PARTS feature rows, and their rows (with the rows whose
-    key is NULL) are spread over all partitions of the shuffled join.
+    The HEAVY_PARTS largest keys take their values from a broadcast of that many
+    rows.  All other rows meet in a shuffled join on the keys and a hash of them;
+    rows that need nobody there, because they have their values or a NULL key, carry
+    a hash of the whole row instead and so are dealt evenly over all partitions.
     ``weight`` names a column of ``feats`` with the rows per key, which saves
     counting them; it is not part of the result.
     """
     values = [c for c in feats.columns if c not in on and c != weight]
-    if check_small and is_small(feats):
-        return df.join(feats.select(*on, *values), on, "left")
+    table = feats.where(reduce(Column.__and__, [F.col(k).isNotNull() for k in on]))
     if weight:
-        hot = feats.dropna(subset=on).orderBy(F.col(weight).desc()).limit(HEAVY_PARTS)
+        # true for every row, and keeps the count in both uses of the table, so that Spark aggregates it once
+        table = table.where(F.col(weight) > 0)
+        hot = table.orderBy(F.col(weight).desc(), *on).limit(HEAVY_PARTS)
     else:
-        hot = feats.join(F.broadcast(largest_keys(df, on)), on, "left_semi")
+        hot = table.join(F.broadcast(largest_keys(df, on)), on, "left_semi")
     hot = hot.select(*on, F.struct(*values).alias("__hot"))
     rows = df.join(F.broadcast(hot), on, "left")
     any_null = reduce(Column.__or__, [F.col(k).isNull() for k in on])
-    spread = F.col("__hot").isNotNull() | any_null
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD)).cast("int") + 1
-    rows = rows.withColumn("__salt", F.when(spread, salt).otherwise(F.lit(0)))
-    rest = feats.select(*on, *values).withColumn("__salt", F.lit(0))
-    joined = rows.join(rest, [*on, "__salt"], "left")
+    alone = F.col("__hot").isNotNull() | any_null
+    keys = F.xxhash64(*[_same_type(df, feats, k) for k in on])
+    rows = rows.withColumn("__meet", F.when(alone, F.xxhash64(*df.columns)).otherwise(keys))
+    rest = table.select(*on, *values).withColumn("__meet", F.xxhash64(*[_same_type(feats, df, k) for k in on]))
+    joined = rows.join(rest, [*on, "__meet"], "left")
     picked = [
         F.when(F.col("__hot").isNotNull(), F.col("__hot").getField(v)).otherwise(F.col(v)).alias(v)
         for v in values

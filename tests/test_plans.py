@@ -71,13 +71,35 @@ def test_quantile_rows_without_keys(events):
 def test_keyed_left_join_with_hot_and_null_keys(events, weight, monkeypatch):
     monkeypatch.setattr(skew, "HEAVY_PARTS", 3)
     feats = events.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("v").alias("m"), F.min("v").alias("lo"))
-    got = skew.keyed_left_join(events, feats, ["key"], weight=weight, check_small=False)
+    got = skew.keyed_left_join(events, feats, ["key"], weight=weight)
     want = events.join(feats, "key", "left").select(*got.columns)
     assert rows_of(got) == rows_of(want)
 
 
-def test_hot_rows_are_spread(events):
-    feats = events.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("v").alias("m"))
-    plan = skew.keyed_left_join(events, feats, ["key"], weight="n", check_small=False)
-    text = plan._jdf.queryExecution().optimizedPlan().toString()
-    assert "__salt" in text and "broadcast" in text.lower()
+def test_hot_rows_are_spread(spark):
+    """One key with 60 % of the rows and NULL keys with 15 %: no partition of the shuffled join gets twice the mean."""
+    df = spark.range(20_000).selectExpr(
+        "id", "CASE WHEN id % 20 < 12 THEN -1 WHEN id % 20 < 15 THEN NULL ELSE id END AS key", "id % 7 AS v"
+    )
+    feats = df.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("v").alias("m"))
+    was = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = skew.keyed_left_join(df, feats, ["key"], weight="n")
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert len(sizes) == 8 and max(sizes) <= 2 * sum(sizes) / 8
+    assert "SortMergeJoin [key" in plan and "__meet" in plan.split("SortMergeJoin")[1].split("LeftOuter")[0]
+    assert "ReusedExchange" in plan  # the feature table is aggregated once
+
+
+def test_keys_of_different_types_meet(spark):
+    left = spark.createDataFrame([(1, 0.0), (2, -0.0), (None, 1.0)], "k int, x double")
+    by_long = spark.createDataFrame([(1, "a", 1), (2**40, "b", 1)], "k long, m string, n long")
+    by_double = spark.createDataFrame([(0.0, "z", 1)], "x double, m string, n long")
+    assert rows_of(skew.keyed_left_join(left, by_long, ["k"], "n").select("k", "m")) == [(1, "a"), (2, None), (None, None)]
+    assert rows_of(skew.keyed_left_join(left, by_double, ["x"], "n").select("x", "m")) == rows_of(left.join(by_double, "x", "left").select("x", "m"))
