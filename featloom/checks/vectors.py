@@ -23,7 +23,7 @@ def _weights(t, max_features=300):
 
 @check("svd_scores_v10")
 def _(t):
-    scores, _ = topics.svd_scores(_weights(t), "doc_id", "w", 5)
+    scores, _ = topics.svd_scores(_weights(t), "doc_id", "w", 5, ids=t.documents)
     return scores.select("doc_id", F.round(F.get("scores", F.lit(0)), 4).alias("s0"), F.size("scores").alias("k"))
 
 
@@ -36,7 +36,7 @@ def _(t):
 
 @check("nmf_topics_v12")
 def _(t):
-    docs, _, _ = topics.nmf_topics(_weights(t), "doc_id", "w", 5, iters=4)
+    docs, _, _ = topics.nmf_topics(_weights(t), "doc_id", "w", 5, iters=4, ids=t.documents)
     return topics.topic_shares(docs, "f").select("doc_id", "topic")
 
 

@@ -87,10 +87,10 @@ def hash_sample(df: DataFrame, key: str, fraction: float, seed: int = 0, buckets
 
 
 def drop_constant(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Drop columns with a single value (NULL counts as one)."""
-    row = df.agg(
-        *[(F.min(c).eqNullSafe(F.max(c)) & (F.count(c) % F.count(F.lit(1)) == 0)).alias(c) for c in cols]
-    ).first()
+    """Drop columns with a single value (NULL counts as one); an empty frame keeps all."""
+    rows = F.count(F.lit(1))
+    whole = [(rows > 0) & ((F.count(c) == 0) | (F.count(c) == rows)) for c in cols]
+    row = df.agg(*[(F.min(c).eqNullSafe(F.max(c)) & w).alias(c) for c, w in zip(cols, whole)]).first()
     return df.drop(*[c for c in cols if row[c]])
 
 

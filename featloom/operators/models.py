@@ -191,9 +191,8 @@ def predict_missing(
         rows = assemble(coded, features, y).persist()
         model = make_estimator(kind, **params).fit(rows.filter(known & F.col("label").isNotNull()))
         return model.transform(rows.filter(~known)).select(key, F.col("prediction").alias(f"{y}_pred"))
-    classes = label_encode(coded.filter(known & F.col(y).isNotNull()).select(key, y), [y], "__class")
-    codes = classes.select(F.col(y).cast("string").alias(f"{y}_pred"), F.col(f"{y}__class").alias("__k")).distinct()
-    labelled = attach(coded.filter(known), classes.select(key, f"{y}__class"), key).filter(F.col(f"{y}__class").isNotNull())
+    labelled = label_encode(coded.filter(known & F.col(y).isNotNull()), [y], "__class")
+    codes = labelled.select(F.col(y).cast("string").alias(f"{y}_pred"), F.col(f"{y}__class").alias("__k")).distinct()
     model = make_estimator(kind, **params).fit(assemble(labelled, features, f"{y}__class"))
     scored = model.transform(assemble(coded.filter(~known).withColumn("__none", F.lit(None).cast("double")), features, "__none"))
     probs = vector_to_array("probability")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featloom.plans.prefix import running_sums
@@ -26,8 +28,10 @@ def running_distinct_ratio(
     sums = {"__rows": F.lit(1)}
     for i, c in enumerate(cols):
         firsts = df.groupBy(key, c).agg(F.min(F.struct(*order)).alias("__o"))
-        marks = firsts.select(key, *[F.col("__o")[o].alias(o) for o in order], F.lit(1).alias(f"__new{i}"))
-        df = df.join(marks, [key, *order], "left")
+        places = {key: F.col(key), **{o: F.col("__o")[o] for o in order}}
+        marks = firsts.select(*[e.alias(f"__at_{c}") for c, e in places.items()], F.lit(1).alias(f"__new{i}"))
+        same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__at_{c}")) for c in places])
+        df = df.join(marks, same, "left").drop(*[f"__at_{c}" for c in places])
         sums[f"__seen{i}"] = F.coalesce(F.col(f"__new{i}"), F.lit(0))
     rows = running_sums(df, [key], order, sums, blocks=blocks)
     out = {f"{c}_types_ratio": F.try_divide(F.col(f"__seen{i}"), F.col("__rows")) for i, c in enumerate(cols)}

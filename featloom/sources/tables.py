@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Callable
 from functools import reduce
 
@@ -81,9 +82,14 @@ class FeatureStore:
         self.spark, self.path = spark, path.rstrip("/")
 
     def _stamp(self, inputs: list[DataFrame], spec: object) -> str:
-        files = sorted(f for df in inputs for f in df.inputFiles())
-        plans = [df.schema.json() for df in inputs]
-        text = json.dumps([files, plans, spec], sort_keys=True, default=str)
+        """Hash of the inputs' plans (without the numbers Spark gives columns), of their files with sizes and times, and of the spec."""
+        plans = [re.sub(r"#\d+L?", "", df._jdf.queryExecution().optimizedPlan().toString()) for df in inputs]
+        files = sorted({f for df in inputs for f in df.inputFiles()})
+        state = None
+        if files:
+            listed = self.spark.read.format("binaryFile").load(files).select("path", "length", "modificationTime")
+            state = listed.agg(F.count(F.lit(1)), F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first()
+        text = json.dumps([files, plans, [str(x) for x in state or ()], [df.schema.json() for df in inputs], spec], sort_keys=True, default=str)
         return hashlib.sha256(text.encode()).hexdigest()[:16]
 
     def _read(self, folder: str) -> DataFrame | None:
