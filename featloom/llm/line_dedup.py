@@ -82,10 +82,10 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         near_but_long = n >= NEAR_WORDS - 1  # may be the shorter of a pair
         flat = np.stack(keys, axis=1)
         lists = [k if full else k[2:] if some else [] for k, full, some in zip(flat, near, near_but_long)]
-        seen, again = set(), []
-        for d, m, a, b in zip(docs, marks, c1.tolist(), c2.tolist()):
-            again.append((d, m, a, b) in seen)
-            seen.add((d, m, a, b))
+        seen: dict = {}
+        again = []
+        for i, *key in zip(at, docs, marks, c1.tolist(), c2.tolist()):
+            again.append(seen.setdefault(tuple(key), i) < i)  # a repeated row has the same line numbers
         arrays = [pa.array(docs, pa.int64()), pa.array(marks, pa.int64()), pa.array(at, pa.int32()), pa.array(again), pa.array(c1), pa.array(c2), pa.array(lists, pa.list_(pa.int64()))]
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
