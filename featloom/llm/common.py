@@ -65,13 +65,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def bitmap(hashes: DataFrame, name: str) -> np.ndarray:
-    """A bit for each value of the hash column ``name``: some 16 bits a value, at most MAX_BITS (16 MB) in all.
+def bitmap(hashes: DataFrame, name: str, per: int = 16) -> np.ndarray:
+    """A bit for each value of the hash column ``name``: some ``per`` bits a value, at most MAX_BITS (16 MB) in all.
 
     Spark puts the words together; the driver gets at most MAX_BITS / 64 rows.
     """
     bits, count = 2**16, hashes.count()
-    while bits < min(16 * count, MAX_BITS):
+    while bits < min(per * count, MAX_BITS):
         bits *= 2
     at = hashes.select(F.col(name).bitwiseAND(F.lit(bits - 1)).alias("b"))
     one = F.expr("shiftleft(1L, cast(b & 63 AS int))")
@@ -87,9 +87,9 @@ def may_hold(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (table[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def near_keys(rows: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+def near_keys(rows: DataFrame, keys: DataFrame, name: str, per: int = 16) -> DataFrame:
     """``rows`` whose hash column ``name`` may be among those of ``keys``, so that fewer texts are shuffled by the join that follows."""
-    bits = rows.sparkSession.sparkContext.broadcast(bitmap(keys.select(name).distinct(), name))
+    bits = rows.sparkSession.sparkContext.broadcast(bitmap(keys.select(name).distinct(), name, per))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -32,6 +32,7 @@ from featloom.llm.common import mix, near_keys, prefix_sums_by, rows_of, stored
 BUCKETS = 2**18
 PSEUDO = 4.0
 SEED = 6
+PER_ID = 64  # bits of the bitmap for each labelled id
 GROUP = 500_000
 
 
@@ -96,8 +97,13 @@ def weights(docs: DataFrame, good_ids: DataFrame) -> DataFrame:
     good = stored(good.withColumn("key", F.xxhash64("g_id")), "good")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), F.col("text").cast("binary").alias("text"))
     keyed = rows.select("doc_id", "text").withColumn("key", F.xxhash64("doc_id"))
-    target = near_keys(keyed, good, "key").join(good, F.col("doc_id") == F.col("g_id"), "left_semi")
-    models = docs.sparkSession.sparkContext.broadcast((counts(rows), counts(target)))
+    # counts of the target: those of all rows that the bitmap lets pass, less those it lets pass by chance, whose texts are few
+    some = near_keys(keyed, good, "key", PER_ID)
+    others = some.select("doc_id", "key").join(good, F.col("doc_id") == F.col("g_id"), "left_anti").distinct()
+    others = stored(others.select(F.col("doc_id").alias("o_id"), "key"), "others")
+    extra = near_keys(some, others, "key", PER_ID).join(others.select("o_id"), F.col("doc_id").eqNullSafe(F.col("o_id")), "left_semi")
+    target = counts(some) - counts(extra)
+    models = docs.sparkSession.sparkContext.broadcast((counts(rows), target))
     scored = rows.mapInArrow(_score(models), "doc_id long, mark long, n_grams long, other double, inside double")
     scored = scored.join(good.select("g_id"), F.col("doc_id") == F.col("g_id"), "left")
     return scored.select("doc_id", "mark", "n_grams", F.when(F.col("g_id").isNull(), F.col("other")).otherwise(F.col("inside")).alias("log_weight"))

@@ -155,7 +155,9 @@ def scan(docs: DataFrame, limit: int = TRAIN_ROWS) -> DataFrame:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """(doc_id, at, n_chars, masked, value_sha256, probability) of what the forest takes for secrets."""
-    found = scan(docs).where("probability > 0.5")
+    """(doc_id, at, n_chars, masked, value_sha256, probability, kept) of every candidate; kept is what the forest takes for a secret."""
     masked = F.concat(F.substring("value", 1, 4), F.lit("..."))
-    return found.select("doc_id", "at", F.length("value").alias("n_chars"), masked.alias("masked"), F.sha2("value", 256).alias("value_sha256"), "probability")
+    return scan(docs).select(
+        "doc_id", "at", F.length("value").alias("n_chars"), masked.alias("masked"), F.sha2("value", 256).alias("value_sha256"),
+        "probability", (F.col("probability") > 0.5).alias("kept"),
+    )
