@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from featloom.operators.joins import attach
 from featloom.plans.prefix import quantile_rows, sorted_codes
-from featloom.plans.sizing import is_small
 
 
 def label_encode(df: DataFrame, cols: list[str], suffix: str = "") -> DataFrame:
@@ -61,8 +60,6 @@ def one_hot(df: DataFrame, cat_cols: list[str], num_cols: list[str] = (), weight
 def bin_edges(df: DataFrame, col: str, q: int) -> DataFrame:
     """One row: sorted distinct edges of ``q`` equal-frequency bins."""
     steps = [i / q for i in range(q + 1)]
-    if is_small(df):
-        return df.agg(F.array_sort(F.array_distinct(F.percentile(F.col(col).cast("double"), steps))).alias("edges"))
     rows = quantile_rows(df, [], col, steps)
     return rows.agg(F.array_sort(F.collect_set("value")).alias("edges"))
 

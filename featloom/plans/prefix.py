@@ -10,14 +10,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from featloom.plans.sizing import block_count, is_small
-
-INF = float("inf")
+from featloom.plans.sizing import block_count, cut_lineage
 
 
 def sortable(df: DataFrame, name: str) -> Column:
@@ -37,41 +34,14 @@ def sortable(df: DataFrame, name: str) -> Column:
     return col.cast("double")
 
 
-def _cuts(df: DataFrame, columns: list[Column], blocks: int) -> list[list[float]]:
-    steps = [i / blocks for i in range(1, blocks)]
-    row = df.agg(
-        *[F.percentile_approx(c, steps, 10 * blocks).alias(f"c{i}") for i, c in enumerate(columns)]
-    ).first()
-    return [list(v) if v is not None else [] for v in row]
-
-
-def _bucket(df: DataFrame, col: str, cuts: list[float], out: str) -> DataFrame:
-    splits = [-INF, *sorted(set(cuts)), INF]
-    if len(splits) < 3:
-        return df.withColumn(out, F.lit(0.0))
-    stage = Bucketizer(splits=splits, inputCol=col, outputCol=out, handleInvalid="keep")
-    return stage.transform(df)
-
-
 def add_block(df: DataFrame, order: list[str], blocks: int, name: str = "__block") -> DataFrame:
-    """Block number that follows ``order``; values holding several blocks' worth
-    of rows get a block of their own, cut again by the second order column."""
-    first = sortable(df, order[0])
-    second = sortable(df, order[1]) if len(order) > 1 else None
-    cuts = _cuts(df, [first] + ([second] if second is not None else []), blocks)
-    # NULL sorts first, as in an ascending Spark sort
-    df = df.withColumn("__x1", F.coalesce(first, F.lit(-1.7e308)))
-    df = _bucket(df, "__x1", cuts[0], "__b1")
-    repeated = sorted({a for a, b in zip(cuts[0], cuts[0][1:]) if a == b})
-    splittable = second is not None and not isinstance(df.schema[order[0]].dataType, T.StringType)
-    if not repeated or not splittable:
-        return df.withColumn(name, F.col("__b1").cast("long")).drop("__x1", "__b1")
-    df = df.withColumn("__x2", F.coalesce(second, F.lit(-1.7e308)))
-    df = _bucket(df, "__x2", cuts[1], "__b2")
-    heavy = F.col("__x1").isin(repeated)
-    outer = F.col("__b1") * 2 + F.when(heavy, 0).otherwise(1)
-    inner = F.when(heavy, F.col("__b2")).otherwise(F.lit(0.0))
-    return df.withColumn(name, (outer * (len(cuts[1]) + 2) + inner).cast("long")).drop("__x1", "__b1", "__x2", "__b2")
+    """Block number that follows ``order``: the range of all order columns the row falls in.
+
+    A value that fills several ranges by itself is cut by the next order column, and
+    strings are compared whole.  The rows are written to the shared folder, so that
+    later uses see the same ranges.
+    """
+    return cut_lineage(df.repartitionByRange(blocks, *order).withColumn(name, F.spark_partition_id().cast("long")))
 
 
 def running_sums(
@@ -83,12 +53,8 @@ def running_sums(
     blocks: int | None = None,
 ) -> DataFrame:
     """Add, per key and in ``order`` (ascending, must be total), the running sum
-    of every expression in ``sums``.  ``blocks`` forces the blocked form."""
+    of every expression in ``sums``; ``blocks`` defaults to the shuffle partitions."""
     last = 0 if include_current else -1
-    if blocks is None and is_small(df):
-        part = [F.col(k) for k in keys] or [F.lit(0)]
-        w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
-        return df.select("*", *[F.sum(e).over(w).alias(n) for n, e in sums.items()])
     rows = add_block(df, order, blocks or block_count(df))
     inside = Window.partitionBy(*keys, "__block").orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
     totals = rows.groupBy(*keys, "__block").agg(*[F.sum(e).alias(f"__t_{n}") for n, e in sums.items()])
@@ -163,13 +129,7 @@ def quantile_rows(
 def exact_quantiles(
     df: DataFrame, keys: list[str], col: str, probs: dict[str, float], blocks: int | None = None
 ) -> DataFrame:
-    """The same with one column per named quantile; NULL values are skipped.
-
-    Small sources use Spark's own percentile, which holds a group's values in one task.
-    """
-    if blocks is None and is_small(df):
-        x = F.col(col).cast("double")
-        return df.filter(x.isNotNull()).groupBy(*keys).agg(*[F.percentile(x, p).alias(n) for n, p in probs.items()])
+    """The same with one column per named quantile; NULL values are skipped."""
     rows = quantile_rows(df, keys, col, list(probs.values()), blocks)
     return rows.groupBy(*keys).agg(
         *[F.max(F.when(F.col("i") == i, F.col("value"))).alias(name) for i, name in enumerate(probs)]

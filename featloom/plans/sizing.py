@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 # A plan that reads less than this in all is safe in a single task.
 SMALL_BYTES = 32 * 1024 * 1024
-MAX_BLOCKS = 4096
 
 
 def source_bytes(df: DataFrame) -> int:
@@ -36,7 +35,7 @@ def spread(df: DataFrame) -> DataFrame:
 def block_count(df: DataFrame) -> int:
     """Blocks for ordered prefixes: as many as the job has shuffle partitions."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(MAX_BLOCKS, parts))
+    return max(2, parts)
 
 
 def shared_folder(spark: SparkSession) -> str:

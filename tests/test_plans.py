@@ -52,6 +52,17 @@ def test_string_order_follows_bytes(spark):
     assert got == want
 
 
+def test_long_common_prefixes_are_cut(spark):
+    df = spark.range(20_000).selectExpr("concat('https://site/a/long/way/', lpad(id, 8, '0')) AS url")
+    sizes = [r["count"] for r in prefix.add_block(df, ["url"], 16).groupBy("__block").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 3 * 20_000 / 16
+
+
+def test_date_orders_have_few_blocks(events):
+    blocks = prefix.add_block(events, ["day", "id"], 8)
+    assert blocks.select("__block").distinct().count() <= 8  # the rows of the carry window
+
+
 def test_exact_quantiles_in_blocks(events):
     probs = {"lo": 0.0, "q1": 0.25, "med": 0.5, "p90": 0.9, "hi": 1.0}
     got = prefix.exact_quantiles(events, ["key"], "v", probs, blocks=5)
