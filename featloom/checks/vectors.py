@@ -30,7 +30,7 @@ def _(t):
 @check("lda_topics_v11")
 def _(t):
     docs = t.documents.select("doc_id", tx.clean_tokens(F.col("text")).alias("tokens"))
-    shares, _, _ = topics.lda_topics(docs, "doc_id", "tokens", 5, iters=5, vocab_size=1000, min_df=3.0)
+    shares, _, _ = topics.lda_topics(docs, "doc_id", "tokens", 5, iters=5)
     return topics.topic_shares(shares.withColumnRenamed("shares", "raw"), "raw").select("doc_id", "topic")
 
 
