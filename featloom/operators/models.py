@@ -11,17 +11,18 @@ from multiprocessing.pool import ThreadPool
 import numpy as np
 import pandas as pd
 from pyspark import inheritable_thread_target
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import FMRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featloom.functions.columns import accept_class, clip
+from featloom.functions.columns import accept_class, argmax, clip
 from featloom.operators.encode import label_encode
 from featloom.operators.joins import attach
 from featloom.operators.rowstats import row_stats
+from featloom.plans.sizing import cut_lineage
 
 
 def assign_folds(df: DataFrame, key: str, k: int, seed: int = 0, name: str = "fold") -> DataFrame:
@@ -59,8 +60,10 @@ KINDS = {
     "gbt_class": lambda p: GBTClassifier(featuresCol="features", labelCol="label", **p),
     "gbt_multiclass": lambda p: OneVsRest(classifier=GBTClassifier(**p), featuresCol="features", labelCol="label"),
     "forest": lambda p: RandomForestRegressor(featuresCol="features", labelCol="label", **p),
+    "forest_class": lambda p: RandomForestClassifier(featuresCol="features", labelCol="label", **p),
     "fm": lambda p: FMRegressor(featuresCol="features", labelCol="label", **p),
 }
+CLASSIFIERS = ("logistic", "gbt_multiclass", "forest_class")
 
 
 def make_estimator(kind: str, **params):
@@ -81,46 +84,81 @@ def _score(model, df: DataFrame, name: str, probability: bool) -> DataFrame:
     return scored.withColumn(name, value).select(*df.columns, name)
 
 
-def fit_folds(df: DataFrame, make, folds: int, fold_col: str, split_col: str, parallel: int = 4) -> list:
-    """One model per left-out fold, fitted side by side on the cached rows."""
-    train = (F.col(split_col) == "train") & F.col("label").isNotNull()
+def fit_folds(
+    df: DataFrame, make, folds: int, fold_col: str, split_col: str, parallel: int = 4, early_stopping: bool = False
+) -> list:
+    """One model per left-out fold, fitted side by side.
+
+    With ``early_stopping`` (boosted trees) the left-out fold is the validation set: no
+    tree is added once the error on it stops falling.
+    """
+    train = df.filter((F.col(split_col) == "train") & F.col("label").isNotNull())
 
     def fit(f: int):
-        return make().fit(df.filter(train & (F.col(fold_col) != f)).select("features", "label"))
+        if early_stopping:
+            held = train.select("features", "label", (F.col(fold_col) == f).alias("held"))
+            return make().setValidationIndicatorCol("held").fit(held)
+        return make().fit(train.filter(F.col(fold_col) != f).select("features", "label"))
 
     with ThreadPool(min(parallel, folds)) as pool:
         return pool.map(inheritable_thread_target(df.sparkSession)(fit), range(folds))
 
 
+def _score_folds(
+    scored: DataFrame, models: list, name: str, fold_col: str, split_col: str, probability: bool
+) -> tuple[DataFrame, Column]:
+    """``scored`` with a column for each fold's model, and the prediction: train rows by
+    the model that did not see their fold, others by the average."""
+    names = [f"__{name}_{f}" for f in range(len(models))]
+    for model, col in zip(models, names):
+        scored = _score(model, scored, col, probability)
+    own = F.get(F.array(*names), F.col(fold_col).cast("int"))
+    mean = reduce(Column.__add__, [F.col(n) for n in names]) / len(models)
+    return scored, F.when(F.col(split_col) == "train", own).otherwise(mean)
+
+
 def oof_predict(
     df: DataFrame, kind: str, id_col: str, fold_col: str = "fold", split_col: str = "split", folds: int = 5,
-    seeds=(None,), probability: bool = False, name: str = "pred", models_out: list | None = None, **params,
+    seeds=(None,), probability: bool = False, name: str = "pred", models_out: list | None = None,
+    early_stopping: bool = False, **params,
 ) -> DataFrame:
     """(id, split, fold, label, pred): train rows are predicted by the model that did not
     see their fold, test rows by the average of all models; seeds are averaged.
 
-    All models score the rows in one pass, so nothing is shuffled or unioned.
+    The rows are written once; all models score them in one pass, so nothing is shuffled or unioned.
     """
-    rows = df.select(id_col, split_col, fold_col, "label", "features").persist()
+    rows = cut_lineage(df.select(id_col, split_col, fold_col, "label", "features"))
     scored, preds = rows, []
     for i, seed in enumerate(seeds):
         extra = {} if seed is None else {"seed": seed}
-        models = fit_folds(rows, lambda: make_estimator(kind, **params, **extra), folds, fold_col, split_col)
+        make = lambda: make_estimator(kind, **params, **extra)  # noqa: B023, E731
+        models = fit_folds(rows, make, folds, fold_col, split_col, early_stopping=early_stopping)
         if models_out is not None:
             models_out += models
-        names = [f"__p{i}_{f}" for f in range(folds)]
-        for model, col in zip(models, names):
-            scored = _score(model, scored, col, probability)
-        own = F.get(F.array(*names), F.col(fold_col).cast("int"))
-        mean = reduce(Column.__add__, [F.col(n) for n in names]) / folds
-        preds.append(F.when(F.col(split_col) == "train", own).otherwise(mean))
+        scored, pred = _score_folds(scored, models, f"p{i}", fold_col, split_col, probability)
+        preds.append(pred)
     bagged = reduce(Column.__add__, preds) / len(preds)
     return scored.select(id_col, split_col, fold_col, "label", bagged.alias(name))
 
 
-def multiclass_oof(df: DataFrame, id_col: str, folds: int = 5, fold_col: str = "fold", split_col: str = "split", **params) -> DataFrame:
-    """Boosted one-vs-rest classes: (id, predicted class) out of fold."""
-    return oof_predict(df, "gbt_multiclass", id_col, fold_col, split_col, folds, **params)
+def multiclass_oof(
+    df: DataFrame, id_col: str, classes: int, folds: int = 5, fold_col: str = "fold", split_col: str = "split",
+    early_stopping: bool = False, **params,
+) -> DataFrame:
+    """(id, split, fold, label, p0 ... , pred): probability of each class ``0 .. classes - 1``
+    out of fold, by one boosted model per class and fold, scaled to sum 1, and the likeliest class."""
+    rows = cut_lineage(df.select(id_col, split_col, fold_col, "label", "features"))
+    scored, shares = rows, []
+    for c in range(classes):
+        one = rows.withColumn("label", (F.col("label") == c).cast("double"))
+        make = lambda: make_estimator("gbt_class", **params)
+        models = fit_folds(one, make, folds, fold_col, split_col, early_stopping=early_stopping)
+        scored, share = _score_folds(scored, models, f"c{c}", fold_col, split_col, True)
+        shares.append(share)
+    scored = scored.select(id_col, split_col, fold_col, "label", F.array(*shares).alias("__all"))
+    total = F.aggregate("__all", F.lit(0.0), lambda a, v: a + v)
+    parts = {f"p{c}": F.get("__all", F.lit(c)) / total for c in range(classes)}
+    return scored.withColumns(parts | {"pred": argmax(F.col("__all"))}).drop("__all")
 
 
 def importance(models: list, names: list[str], spark) -> DataFrame:
@@ -173,31 +211,43 @@ def best_param(results: DataFrame) -> DataFrame:
 # ---- auxiliary predictions --------------------------------------------------------------
 
 
-def predict_missing(
-    source: DataFrame, target: DataFrame, kind: str, y: str, cat_cols: list[str], num_cols: list[str], key: str,
-    min_prob: float | None = None, **params,
+def predict_targets(
+    source: DataFrame, target: DataFrame, kinds: dict[str, tuple[str, dict]], cat_cols: list[str], num_cols: list[str], key: str,
+    min_prob: float = 0.0,
 ) -> DataFrame:
-    """(key, predicted ``y``) for the target rows, fitted where the source has ``y``.
+    """(key, prediction ``<y>_pred`` of each y of ``kinds``) for every row of ``target``, known or not.
 
-    Numbers are regressed.  With ``kind='logistic'``, ``y`` is a category: classes come
-    from its sorted codes, and a class below ``min_prob`` is not accepted.
+    ``kinds`` names the learner and its parameters for each y, fitted on the rows of
+    ``source`` that have it, from the other columns.  Numbers are regressed; with a learner of
+    CLASSIFIERS the classes are the sorted codes of y, and one below ``min_prob`` is
+    not accepted.  Categories are coded once, over both tables.
     """
-    cols = [key, *cat_cols, *num_cols, y]
+    cols = list(dict.fromkeys([key, *cat_cols, *num_cols, *kinds]))
     both = source.select(*cols).withColumn("__src", F.lit(1)).unionByName(target.select(*cols).withColumn("__src", F.lit(0)))
-    coded = label_encode(both, cat_cols, "__code")
-    features = [f"{c}__code" for c in cat_cols] + list(num_cols)
-    known = F.col("__src") == 1
-    if kind != "logistic":
-        rows = assemble(coded, features, y).persist()
-        model = make_estimator(kind, **params).fit(rows.filter(known & F.col("label").isNotNull()))
-        return model.transform(rows.filter(~known)).select(key, F.col("prediction").alias(f"{y}_pred"))
-    labelled = label_encode(coded.filter(known & F.col(y).isNotNull()), [y], "__class")
-    codes = labelled.select(F.col(y).cast("string").alias(f"{y}_pred"), F.col(f"{y}__class").alias("__k")).distinct()
-    model = make_estimator(kind, **params).fit(assemble(labelled, features, f"{y}__class"))
-    scored = model.transform(assemble(coded.filter(~known).withColumn("__none", F.lit(None).cast("double")), features, "__none"))
-    probs = vector_to_array("probability")
-    chosen = scored.select(key, accept_class(probs, min_prob if min_prob is not None else 0.0).alias("__k"))
-    return attach(chosen, codes, "__k").select(key, f"{y}_pred")
+    coded = cut_lineage(label_encode(both, cat_cols, "__code"))
+    scored = coded.filter("__src = 0")
+    for y, (kind, params) in kinds.items():
+        inputs = [f"{c}__code" for c in cat_cols if c != y] + [c for c in num_cols if c != y]
+        known, name, kept = coded.filter((F.col("__src") == 1) & F.col(y).isNotNull()), f"{y}_pred", scored.columns
+        if kind not in CLASSIFIERS:
+            model = make_estimator(kind, **params).fit(assemble(known, inputs, y))
+            scored = model.transform(assemble(scored, inputs, y)).select(*kept, F.col("prediction").alias(name))
+            continue
+        labelled = cut_lineage(label_encode(known, [y], "__class"))
+        model = make_estimator(kind, **params).fit(assemble(labelled, inputs, f"{y}__class"))
+        codes = labelled.groupBy(F.col(f"{y}__class").alias("__k")).agg(F.first(F.col(y).cast("string")).alias(name))
+        rows = model.transform(assemble(scored.withColumn("__none", F.lit(None).cast("double")), inputs, "__none"))
+        chosen = accept_class(vector_to_array("probability"), min_prob).alias("__k")
+        scored = attach(rows.select(*kept, chosen), codes, "__k").drop("__k")
+    return scored.select(key, *[f"{y}_pred" for y in kinds])
+
+
+def predict_missing(
+    source: DataFrame, target: DataFrame, kind: str, y: str, cat_cols: list[str], num_cols: list[str], key: str,
+    min_prob: float | None = None, **params,
+) -> DataFrame:
+    """``predict_targets`` of one column."""
+    return predict_targets(source, target, {y: (kind, params)}, cat_cols, num_cols, key, min_prob or 0.0)
 
 
 # ---- stacking and blending ----------------------------------------------------------------

@@ -92,12 +92,37 @@ def test_svd_matches_numpy(counts):
     assert len(explained) == 3
 
 
-def test_iterated_svd_agrees(counts, monkeypatch):
-    tc, _ = counts
-    first = {r.id: r.scores for r in topics.svd_scores(tc, "id", "w", 2)[0].collect()}
-    monkeypatch.setattr(topics, "MAX_GRAM", 1)
-    second = {r.id: r.scores for r in topics.svd_scores(tc, "id", "w", 2)[0].collect()}
-    assert all(first[i] == pytest.approx(second[i], abs=1e-5) for i in first)
+def test_svd_of_new_rows(counts, spark):
+    """Directions of all rows score a part of them, and rows with unknown terms, as numpy does."""
+    tc, data = counts
+    terms = topics.svd_fit(tc, "id", "w", 2)
+    v = np.zeros((15, 2))
+    for r in terms.collect():
+        v[int(r.term[1:])] = r.f
+    assert v.T @ v == pytest.approx(np.eye(2), abs=1e-9) and all(v[np.abs(v).argmax(0), [0, 1]] > 0)
+    some = tc.filter("id < 5").unionByName(spark.createDataFrame([(3, "unknown", 9.0), (99, "unknown", 1.0)], tc.schema))
+    got = {r.id: r.scores for r in topics.svd_transform(some, "id", "w", terms, 2, some).collect()}
+    assert set(got) == {0, 1, 2, 3, 4, 99} and got[99] == [0.0, 0.0]
+    assert np.array([got[i] for i in range(5)]) == pytest.approx(dense(data)[:5] @ v)
+
+
+def test_svd_of_negative_weights_and_string_ids(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(12, 5))
+    rows = [(f"d{i:02d}", f"t{j}", float(x[i, j])) for i in range(12) for j in range(5)]
+    scores, _ = topics.svd_scores(spark.createDataFrame(rows, "id string, term string, w double"), "id", "w", 5)
+    got = np.array([r.scores for r in sorted(scores.collect())])
+    u, s, _ = np.linalg.svd(x, full_matrices=False)
+    assert np.abs(got) == pytest.approx(np.abs(u * s), abs=1e-6)
+    assert topics.svd_scores(spark.createDataFrame([], "id string, term string, w double"), "id", "w", 2)[0].count() == 0
+
+
+def test_sparse_vectors_hold_the_weights(counts):
+    tc, data = counts
+    vecs, size = topics.to_sparse(tc, "id", "w")
+    assert size == 15
+    for r in vecs.collect():
+        assert r.vec.toArray().tolist() == dense(data)[r.id].tolist()
 
 
 def test_nmf_objective_never_rises(counts):
@@ -117,7 +142,10 @@ def test_lda_shares_sum_to_one(counts):
     docs = tc.groupBy("id").agg(F.collect_list("term").alias("tokens"))
     shares, terms, _ = topics.lda_topics(docs, "id", "tokens", 3, iters=3)
     assert all(sum(r.shares) == pytest.approx(1.0) for r in shares.collect())
-    assert terms.select("topic").distinct().count() == 3
+    assert terms.count() == 3 * 15
+    fitted = topics.lda_fit(docs, "tokens", 3, iters=3)
+    some = topics.lda_transform(docs.filter("id < 4"), "id", fitted).collect()
+    assert len(some) == 4 and all(len(r.shares) == 3 for r in some)
 
 
 def test_pooled_vectors(spark):
@@ -173,6 +201,45 @@ def test_boosting_beats_the_mean(spark):
     assert mo.clip_rmse(out, "label", "pred").first()[0] < 0.2
 
 
+@pytest.fixture(scope="module")
+def classed(spark):
+    """Class = x div 4 of x in 0..11, a tenth of the labels NULL, a seventh of the rows test rows."""
+    df = spark.range(480).select(
+        "id", F.floor(F.col("id") / 12 % 5).cast("int").alias("fold"), F.when(F.col("id") % 7 == 0, "test").otherwise("train").alias("split"),
+        (F.col("id") % 12).cast("double").alias("x"), F.when(F.col("id") % 11 != 0, F.floor(F.col("id") % 12 / 4)).alias("y"),
+    )
+    return mo.assemble(df, ["x"], "y")
+
+
+def test_class_probabilities_out_of_fold(classed):
+    out = mo.multiclass_oof(classed, "id", 3, maxIter=3, maxDepth=2, seed=1).collect()
+    assert len(out) == 480
+    for r in out:
+        assert r.p0 + r.p1 + r.p2 == pytest.approx(1.0)
+        assert r.pred == r.id % 12 // 4 == int(np.argmax([r.p0, r.p1, r.p2]))
+
+
+def test_early_stopping_uses_the_left_out_fold(spark):
+    """Labels without signal: few trees are added when the error of the left-out fold counts."""
+    rng = np.random.default_rng(3)
+    rows = [(i, i % 5, "train", float(rng.random()), float(rng.random())) for i in range(500)]
+    df = mo.assemble(spark.createDataFrame(rows, "id long, fold int, split string, x double, y double"), ["x"], "y")
+    models: list = []
+    out = mo.oof_predict(df, "gbt", "id", early_stopping=True, models_out=models, maxIter=15, maxDepth=4, seed=1)
+    assert out.count() == 500 and len(models) == 5 and all(m.getNumTrees < 15 for m in models)
+
+
+def test_every_target_of_every_row_is_predicted(spark):
+    rows = [(i % 50, "pqr"[i % 3], float(i % 3) * 10, None if i % 7 == 0 else float(i % 3) * 100, None if i % 5 == 0 else "uvw"[i % 3]) for i in range(150)]
+    df = spark.createDataFrame(rows, "key long, c string, x double, price double, kind string")  # each key three times
+    kinds = {"price": ("gbt", {"maxIter": 3, "seed": 1}), "kind": ("forest_class", {"numTrees": 5, "seed": 1}), "c": ("forest_class", {"numTrees": 5, "seed": 1})}
+    got = mo.predict_targets(df, df, kinds, ["c"], ["x"], "key").collect()
+    want = {(r[0], "uvw"["pqr".index(r[1])], r[1]): r[2] * 10 for r in rows}
+    assert len(got) == 150
+    for r in got:
+        assert r.price_pred == pytest.approx(want[r.key, r.kind_pred, r.c_pred], abs=1.0)
+
+
 def test_stream_equals_batch(spark, tmp_path):
     df = spark.range(200).select(
         F.timestamp_seconds(F.col("id") * 20_000).alias("ts"), ((F.col("id") * 7) % 13 - 3).cast("double").alias("value"),
