@@ -297,13 +297,23 @@ def _(t):
     return sizes.withColumn("kind", F.when(F.col("values") > 1000, "high").otherwise("low"))
 
 
-@check("one_hot_features_n6")
+@check(
+    "one_hot_features_n6",
+    """WITH a AS (SELECT item_id, region, COALESCE(param_1, 'nan') AS param_1, COALESCE(price, -1) AS price FROM items),
+    c AS (SELECT *, dense_rank() OVER (ORDER BY region) - 1 AS i, dense_rank() OVER (ORDER BY param_1) - 1 AS j FROM a),
+    n AS (SELECT COUNT(DISTINCT region) AS nr, COUNT(DISTINCT param_1) AS np FROM a)
+    SELECT item_id, CAST(i AS INT) AS cell, 1.0::DOUBLE AS value FROM c UNION ALL SELECT item_id, CAST(nr + 1 + j AS INT), 1.0::DOUBLE FROM c, n
+    UNION ALL SELECT item_id, CAST(nr + np + 2 AS INT), price FROM c, n""",
+    ("items",),
+)
 def _(t):
-    df = clean.require(t.items, ["price", "param_1"]).select("item_id", "region", "param_1", "price")
-    hot = encode.one_hot(df, ["region", "param_1"], ["price"])
+    """Every cell that is not zero, NULL as a category of its own; each block ends with a cell for unseen values."""
     from pyspark.ml.functions import vector_to_array
 
-    return hot.select("item_id", F.size(vector_to_array("features")).alias("width"))
+    df = t.items.select("item_id", "region", "param_1", F.coalesce("price", F.lit(-1.0)).alias("price"))
+    hot = encode.one_hot(df, ["region", "param_1"], ["price"])
+    cells = hot.select("item_id", F.posexplode(vector_to_array("features")).alias("cell", "value"))
+    return cells.where("value <> 0")
 
 
 BINS = """SELECT item_id, CASE WHEN price IS NULL THEN NULL ELSE GREATEST(len(list_filter(edges, lambda e: e < price)) - 1, 0) END AS price_bin FROM items,

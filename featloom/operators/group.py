@@ -50,25 +50,25 @@ def group_features(df: DataFrame, specs: list[Spec], source: DataFrame | None =
     return df
 
 
-def default_specs() -> list[Spec]:
-    """The standing feature list of the listing tables."""
-    cats = ["region", "city", "parent_category_name", "category_name", "user_type", "param_1", "param_2", "param_3"]
-    nums = ["price", "image_top_1", "item_seq_number"]
-    specs = [Spec((c,), n, "mean") for c in cats for n in nums]
-    for c in ["parent_category_name", "category_name", "param_1", "param_2", "param_3", "activation_date"]:
-        specs.append(Spec(("user_id",), c, "nunique"))
+# fixed values: the standing feature list of the listing tables
+CATEGORY_KEYS = ["region", "city", "parent_category_name", "category_name", "user_type", "param_1", "param_2", "param_3"]
+CATEGORY_MEANS = ["price", "image_top_1", "item_seq_number"]
+PREDICTIONS = ("price_pred", "price_pred_all", "ridge_preds")
+USER_KINDS = ["parent_category_name", "category_name", "param_1", "param_2", "param_3", "activation_date"]
+IMAGE_KINDS = ["item_id", "user_id", "category_name", "param_1", "item_seq_number"]
+
+
+def default_specs(predictions: tuple[str, str, str] = PREDICTIONS) -> list[Spec]:
+    """The standing feature list; ``predictions`` names the columns of predicted prices (own rows,
+    all rows) and of the first-level model."""
+    price, _, first_level = predictions
+    specs = [Spec((c,), n, "mean") for c in CATEGORY_KEYS for n in [*CATEGORY_MEANS, *predictions]]
+    specs += [Spec(("user_id",), c, "nunique") for c in USER_KINDS]
     specs.append(Spec(("user_id", "activation_date"), "item_id", "count"))
-    for c in ["item_id", "user_id", "category_name", "param_1", "item_seq_number"]:
-        specs.append(Spec(("image_top_1",), c, "nunique"))
-    specs += [
-        Spec(("image_top_1",), "price", "mean"),
-        Spec(("image_top_1",), "price", "std"),
-        Spec(("image_top_1",), "item_seq_number", "mean"),
-        Spec(("user_id",), "price", "mean"),
-        Spec(("user_id", "category_name"), "price", "mean"),
-        Spec(("user_id", "image_top_1"), "price", "mean"),
-        Spec(("user_id", "category_name"), "price", "sum"),
-    ]
+    specs += [Spec(("image_top_1",), c, "nunique") for c in IMAGE_KINDS]
+    specs += [Spec(("image_top_1",), c, a) for c, a in ((price, "mean"), (price, "std"), ("item_seq_number", "mean"))]
+    specs += [Spec(k, first_level, "mean") for k in (("user_id",), ("user_id", "category_name"), ("user_id", "image_top_1"))]
+    specs.append(Spec(("user_id", "category_name"), first_level, "sum"))
     return specs
 
 
