@@ -356,6 +356,60 @@ def test_suffix_tree_is_a_distribution(spark):
         assert mass == pytest.approx(1, abs=1e-5)
 
 
+def plain_suffix_tree(train, texts):
+    """log10 score of each text by the model of all contexts of ``train``, in dictionaries."""
+    split = lambda t: (t or "").encode().lower().split() + [b"\n"]
+    count, grams = Counter(), (defaultdict(Counter), defaultdict(Counter))
+    for t in train:
+        w = split(t)
+        count.update(w)
+        for k in (1, 2):
+            for i in range(k, len(w)):
+                grams[k - 1][tuple(w[i - k : i])][w[i]] += 1
+    whole = sum(count.values()) + 0.1 * (len(count) + 1)
+    root = lambda w: (count[w] + 0.1) / whole
+
+    def prob(c, w):
+        n, t = grams[len(c) - 1][c], sum(grams[len(c) - 1][c].values())
+        lower = prob(c[1:], w) if len(c) > 1 else root(w)
+        return (max(n[w] - 0.75, 0) + 0.75 * len(n) * lower) / t
+
+    keep = set()
+    for k in (1, 0):
+        for c, n in grams[k].items():
+            lower = (lambda w: prob(c[1:], w)) if k else root
+            if sum(n.values()) >= 2 and sum(m * np.log(prob(c, w) / lower(w)) - 1 for w, m in n.items()) >= 10:
+                keep |= {c, c[-1:]}
+    out = []
+    for t in texts:
+        w = split(t)
+        best = [max((c for c in (tuple(w[max(i - k, 0) : i]) for k in (1, 2)) if c in keep), key=len, default=()) for i in range(len(w))]
+        out.append(sum(log10(prob(c, x) if c else root(x)) for c, x in zip(best, w)))
+    return out
+
+
+@pytest.mark.parametrize("head", [None, (2e-3, 5e-3, 1e-3), (1.0, 1.0, 1.0)])
+def test_suffix_tree_keeps_rare_contexts(spark, monkeypatch, head):
+    """The score does not depend on what is frequent enough to be broadcast."""
+    if head:
+        for name, share in zip(("WORD", "CONTEXT", "EDGE"), head):
+            monkeypatch.setattr(suffix_tree, name, share)
+    rng = random.Random(12)
+    made = []
+    for i in range(150):
+        w = []
+        for _ in range(12):  # rare words that are always followed by the same one, between frequent ones
+            k = rng.randrange(60)
+            w += [f"x{k}", f"y{k}", f"z{k % 7}"] if rng.random() < 0.5 else [rng.choice("the of and".split()), rng.choice("a to in".split())]
+        made.append((i, " ".join(w)))
+    made += [(500, None), (501, "x1 y1 unseen x2 z5 the"), (501, "x1 y1 unseen x2 z5 the")]
+    train = [t for d, t in made if crc32(str(d).encode()) % 10]
+    found = suffix_tree.report(spark.createDataFrame(made, DOCS).repartition(4)).collect()
+    want = dict(zip((d for d, _ in made), plain_suffix_tree(train, [t for _, t in made])))
+    assert len(found) == len(made)
+    assert {r.doc_id: r.score for r in found} == pytest.approx(want)
+
+
 # learned filters
 
 
