@@ -1,8 +1,8 @@
 """Secret scan: candidate strings, and a random forest that removes the false ones.
 
-Candidates are words with ``MIN_CHARS`` or more letters, digits and signs of keys
-in a row.  Features of a candidate are its length, the shares of kinds of
-characters, changes between kinds, how usual its letter transitions are, the
+Candidates are all runs of ``MIN_CHARS`` or more letters, digits and signs of keys;
+a word between white space may hold many (minified JSON, CSV, URLs).  Features
+of a candidate are its length, the shares of kinds of characters, changes between kinds, how usual its letter transitions are, the
 share of it that dictionary words cover, its path (the source, and slashes), and
 the words before and after it, hashed.  Dictionary and transitions are counted
 over all texts.
@@ -41,26 +41,37 @@ DIGEST = r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]{32,}$"
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, path, at, value, before, last, next): each candidate with its place and neighbouring words."""
+    """(doc_id, path, at, part, value, slashes, chars, before, last, next): each candidate, the ``part``-th of word ``at``.
+
+    Slashes and characters are the word's; of its neighbours only hashes go along, as words may be long.
+    """
     path = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
     rows = docs.select("doc_id", F.coalesce(path, F.lit("")).alias("path"), words(F.col("text")).alias("w"))
     w = F.col("w")
-    found = F.filter(
-        F.transform(w, lambda x, i: F.struct(i.alias("at"), F.when(F.length(x) >= MIN_CHARS, F.regexp_extract(x, VALUE, 0)).otherwise("").alias("value"))),
-        lambda c: c["value"] != "",
+    none = F.array().cast("array<string>")
+    values = F.transform(
+        w, lambda x, i: F.struct(i.alias("at"), F.when(F.length(x) >= MIN_CHARS, F.regexp_extract_all(x, F.lit(VALUE), F.lit(0))).otherwise(none).alias("values"))
     )
 
-    def word(i: Column) -> Column:
-        return F.coalesce(F.when(i >= 0, F.get(w, i)), F.lit(""))
+    def near(i: Column) -> Column:
+        return slot(F.lower(F.coalesce(F.when(i >= 0, F.get(w, i)), F.lit(""))), NEIGHBOURS)
+
+    def word_of(c: Column) -> Column:
+        at, x = c["at"], F.get(w, c["at"])
+        return F.struct(
+            at.alias("at"), c["values"].alias("values"), F.regexp_count(x, F.lit(r"[/\\]")).alias("slashes"), F.length(x).alias("chars"),
+            near(at - 2).alias("before"), near(at - 1).alias("last"), near(at + 1).alias("next"),
+        )
 
-    near = F.transform(
+    found = F.transform(F.filter(values, lambda c: F.size(c["values"]) > 0), word_of)
+    each = F.transform(
         found,
-        lambda c: F.struct(
-            c["at"].alias("at"), c["value"].alias("value"), F.get(w, c["at"]).alias("word"),
-            word(c["at"] - 2).alias("before"), word(c["at"] - 1).alias("last"), word(c["at"] + 1).alias("next"),
+        lambda c: F.transform(
+            c["values"],
+            lambda v, j: F.struct(c["at"].alias("at"), j.alias("part"), v.alias("value"), *[c[k].alias(k) for k in ("slashes", "chars", "before", "last", "next")]),
         ),
     )
-    return rows.select("doc_id", "path", F.inline(near))
+    return rows.select("doc_id", "path", F.inline(F.flatten(each)))
 
 
 def vocabulary(docs: DataFrame) -> DataFrame:
@@ -84,8 +95,11 @@ def transitions(vocab: DataFrame) -> list[float]:
     return out
 
 
-def one_hot(value: Column, size: int) -> Column:
-    at = F.pmod(F.xxhash64(value), F.lit(size)).cast("int")
+def slot(value: Column, size: int) -> Column:
+    return F.pmod(F.xxhash64(value), F.lit(size)).cast("int")
+
+
+def one_hot(at: Column, size: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: (i == at).cast("double"))
 
 
@@ -116,12 +130,11 @@ def with_features(rows: DataFrame, vocab: DataFrame, usual: list[float]) -> Data
     kinds = r"(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])|(?<=[a-z])(?=[A-Z])"
     plain = [
         n, share("[0-9]"), share("[A-Z]"), share("[a-z]"), share(r"[^A-Za-z0-9]"), share(kinds), share("[aeiou]"), F.col("transition"), F.col("coverage"),
-        F.size(F.array_distinct(F.split(v, ""))) / n, (F.regexp_count(F.col("word"), F.lit(r"[/\\]"))).cast("double"),
-        (F.length("word") - F.length("value")).cast("double"),
+        F.size(F.array_distinct(F.split(v, ""))) / n, F.col("slashes"), F.col("chars") - F.length("value"),
     ]
     everything = F.concat(
-        F.array(*[x.cast("double") for x in plain]), one_hot(F.col("path"), PATHS),
-        *[one_hot(F.lower(c), NEIGHBOURS) for c in ("before", "last", "next")],
+        F.array(*[x.cast("double") for x in plain]), one_hot(slot(F.col("path"), PATHS), PATHS),
+        *[one_hot(F.col(c), NEIGHBOURS) for c in ("before", "last", "next")],
     )
     return rows.withColumn("features", array_to_vector(everything))
 
@@ -134,7 +147,7 @@ def labelled(rows: DataFrame) -> DataFrame:
 
 def training_rows(rows: DataFrame, limit: int = TRAIN_ROWS) -> DataFrame:
     """At most ``limit`` findings of each label, those of smallest hash."""
-    order = [F.xxhash64("value", "doc_id", "at"), F.col("value")]
+    order = [F.xxhash64("value", "doc_id", "at", "part"), F.col("value")]
     return rows.where("label = 1").orderBy(*order).limit(limit).unionByName(rows.where("label = 0").orderBy(*order).limit(limit))
 
 
@@ -144,20 +157,20 @@ def fit(train: DataFrame):
 
 
 def scan(docs: DataFrame, limit: int = TRAIN_ROWS) -> DataFrame:
-    """(doc_id, at, value, label, probability) of every candidate; ``at`` counts words from 0."""
+    """(doc_id, at, part, value, label, probability) of every candidate; ``at`` counts words and ``part`` the candidates of a word from 0."""
     vocab = stored(vocabulary(docs), "dictionary")
     rows = stored(labelled(with_features(candidates(docs), vocab, transitions(vocab))), "candidates")
     train = stored(training_rows(rows, limit).select("features", "label"), "findings")
     if train.select("label").distinct().count() < 2:
-        return rows.select("doc_id", "at", "value", "label", F.coalesce("label", F.lit(0.0)).alias("probability"))
+        return rows.select("doc_id", "at", "part", "value", "label", F.coalesce("label", F.lit(0.0)).alias("probability"))
     judged = fit(train).transform(rows)
-    return judged.select("doc_id", "at", "value", "label", vector_to_array("probability")[1].alias("probability"))
+    return judged.select("doc_id", "at", "part", "value", "label", vector_to_array("probability")[1].alias("probability"))
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """(doc_id, at, n_chars, masked, value_sha256, probability, kept) of every candidate; kept is what the forest takes for a secret."""
+    """(doc_id, at, part, n_chars, masked, value_sha256, probability, kept) of every candidate; kept is what the forest takes for a secret."""
     masked = F.concat(F.substring("value", 1, 4), F.lit("..."))
     return scan(docs).select(
-        "doc_id", "at", F.length("value").alias("n_chars"), masked.alias("masked"), F.sha2("value", 256).alias("value_sha256"),
+        "doc_id", "at", "part", F.length("value").alias("n_chars"), masked.alias("masked"), F.sha2("value", 256).alias("value_sha256"),
         "probability", (F.col("probability") > 0.5).alias("kept"),
     )

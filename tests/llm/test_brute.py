@@ -441,3 +441,11 @@ def test_secret_scan(spark):
     found = {r.doc_id for r in rows if r.probability > 0.5}
     assert found == {i for i in range(300) if i % 3 == 0 or i % 50 == 1}
     assert len(rows) == 300 + sum((i % 3 == 0) + (i % 50 == 1) for i in range(300))
+
+
+def test_every_candidate_of_a_word(spark):
+    keys = ["0123456789abcdef" * 2, "Zm9vYmFyYmF6cXV4Zm9vYmFyYmF6cXV4MTIzNDU2"]
+    text = f'first aws_secret_access_key:"{keys[1]}" ["{keys[0]}","short","{keys[1]}"] a/b?x={keys[0]}&y={keys[1]} last'
+    rows = secrets.scan(spark.createDataFrame([(1, text), (2, None), (3, "")], DOCS)).collect()
+    want = [(1, 0, "aws_secret_access_key"), (1, 1, keys[1]), (2, 0, keys[0]), (2, 1, keys[1]), (3, 0, f"b?x={keys[0]}"[2:]), (3, 1, f"y={keys[1]}")]
+    assert sorted((r.at, r.part, r.value) for r in rows) == want
