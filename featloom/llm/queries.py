@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from featloom.llm import bitslice, decontaminate, importance, line_dedup, line_rules, mixing, prefix_free, secrets, seed_extend, suffix_tree
+from featloom.llm import (
+    bitslice, decontaminate, hadamard, importance, line_dedup, line_rules, mixing, prefix_free, prefix_trie, pruned_graph, secrets,
+    seed_extend, suffix_tree,
+)
 from featloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +75,18 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_line_rules", line_rules.REPORT_SQL)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return line_rules.report(documents(spark, folder))
+
+
+@query("op11_euler_prefix_trie", prefix_trie.SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.report(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
+@query("op12_hadamard_clusters", hadamard.SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return hadamard.report(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+@query("op13_pruned_graph_neighbours")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return pruned_graph.report(spark.read.parquet(f"{folder}/embeddings.parquet"))
