@@ -8,12 +8,13 @@ have all passed the radius are dropped.
 
 Cases: NULL and empty texts have the fingerprint zero and are linked like any
 other; equal fingerprints are one node; NULL ids take part but never name a
-component that has another id; an empty table gives an empty result; extra
+component that has another id; very long texts are hashed in pieces; an empty table gives an empty result; extra
 columns are ignored by ``fingerprints`` and kept by ``deduplicate``.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,13 +23,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featloom.llm.common import rows_of, stored
+from featloom.llm.common import stored
 from featloom.llm.components import components
 
 RADIUS = 4
 SHINGLE = 4
 GROUP = 8192  # fingerprints that meet in one unit; more are split, none dropped
 CHUNK = 200_000
+PIECE = 2**18  # bytes of a text that are words in memory at once
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def bit_counts(hashes: np.ndarray) -> np.ndarray:
@@ -39,28 +42,43 @@ def bit_counts(hashes: np.ndarray) -> np.ndarray:
     return total
 
 
-def fingerprint(text: bytes | None, size: int = SHINGLE) -> int:
-    """64-bit SimHash of the lower-cased text's shingles, as a signed number."""
-    words = (text or b"").lower().split()
-    if not words:
-        return 0
-    if len(words) <= size:
-        hashes = np.array([xxhash.xxh64_intdigest(b" ".join(words), 42)], np.uint64)
-    else:
+def pieces(text: bytes | pa.Buffer) -> Iterator[list[bytes]]:
+    """The lower-cased words of a text, some ``PIECE`` bytes at a time."""
+    at, view = 0, memoryview(text)
+    while at < len(view):
+        end = SPACE.search(view, min(at + PIECE, len(view)))
+        stop = end.start() if end else len(view)
+        yield bytes(view[at:stop]).lower().split()
+        at = stop
+
+
+def fingerprint(text: bytes | pa.Buffer | None, size: int = SHINGLE) -> int:
+    """64-bit SimHash of the lower-cased text's shingles, as a signed number; a long text is gone through in pieces."""
+    digest = xxhash.xxh64_intdigest
+    total, count, words = np.zeros(64, np.int64), 0, []
+    for more in pieces(text or b""):
+        words += more
+        if len(words) < size:
+            continue
         line = b" ".join(words)
         ends = np.cumsum([len(w) + 1 for w in words])
-        starts = np.concatenate(([0], ends[: len(words) - size])).tolist()
-        digest = xxhash.xxh64_intdigest
-        stops = (ends[size - 1 :] - 1).tolist()
-        hashes = np.fromiter((digest(line[a:b], 42) for a, b in zip(starts, stops)), np.uint64, len(starts))
-    bits = 2 * bit_counts(hashes) > len(hashes)
-    return int(np.packbits(bits, bitorder="little").view(np.int64)[0])
+        starts = np.concatenate(([0], ends[: len(words) - size]))
+        stops = ends[size - 1 :] - 1
+        hashes = np.fromiter((digest(line[a:b], 42) for a, b in zip(starts.tolist(), stops.tolist())), np.uint64, len(starts))
+        total += bit_counts(hashes)
+        count += len(hashes)
+        words = words[len(words) - size + 1 :]
+    if not count:
+        if not words:
+            return 0
+        total, count = bit_counts(np.array([digest(b" ".join(words), 42)], np.uint64)), 1
+    return int(np.packbits(2 * total > count, bitorder="little").view(np.int64)[0])
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = pa.array([fingerprint(t) for (t,) in rows_of([batch], "text")], pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0), found], names=["doc_id", "fp"])
+        found = pa.array([fingerprint(t.as_buffer()) for t in batch.column("text")], pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), found], names=["doc_id", "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

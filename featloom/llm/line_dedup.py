@@ -104,12 +104,12 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(v1, v2, kind, doc_id, line): neighbourhoods of the chosen lines of each text.
+    """(v1, v2, kind, doc_id, mark, line): neighbourhoods of the chosen lines of each text.
 
     Kinds: 0 a line without the word at a place, hashed with the place; 1 the same
     hashed without it; 2 the whole line, hashed like 1.
     """
-    for doc, text, chosen in rows_of(batches, "doc_id", "text", "lines"):
+    for doc, mark, text, chosen in rows_of(batches, "doc_id", "mark", "text", "lines"):
         every = text.split(b"\n")
         for begin in range(0, len(chosen), 64):
             at = chosen[begin : begin + 64]
@@ -130,8 +130,10 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             v2 = np.concatenate([h[1][ok] for h, _, _, ok in parts])
             kind = np.concatenate([np.full(int(ok.sum()), k, np.int8) for _, k, _, ok in parts])
             line = np.array(at, np.int32)[np.concatenate([o[ok] for _, _, o, ok in parts])]
-            ids = pa.array([doc] * len(v1), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(v1), pa.array(v2), pa.array(kind), ids, pa.array(line)], names=["v1", "v2", "kind", "doc_id", "line"])
+            ids, marks = (pa.array(np.full(len(v1), x, np.int64)) for x in (doc, mark))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v1), pa.array(v2), pa.array(kind), ids, marks, pa.array(line)], names=["v1", "v2", "kind", "doc_id", "mark", "line"]
+            )
 
 
 def span_joined(left: np.ndarray, right: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -156,20 +158,21 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     chosen = stored(chosen.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_list("line")).alias("lines")), "chosen")
 
     texts = near_keys(marked(docs), chosen, "mark").withColumn("doc_id", F.coalesce("doc_id", F.lit(LAST_ID))).dropDuplicates(["doc_id", "mark"])
-    texts = texts.join(chosen, ["doc_id", "mark"]).select("doc_id", "text", "lines")
-    rows = texts.mapInArrow(_variants, "v1 long, v2 long, kind byte, doc_id long, line int")
-    rows = stored(rows.withColumn("e", place(F.col("doc_id"), F.col("line"))), "variants")
+    texts = texts.join(chosen, ["doc_id", "mark"]).select("doc_id", "mark", "text", "lines")
+    rows = texts.mapInArrow(_variants, "v1 long, v2 long, kind byte, doc_id long, mark long, line int")
+    rows = stored(rows.select("v1", "v2", "kind", "mark", place(F.col("doc_id"), F.col("line")).alias("e")), "variants")
     firsts = rows.groupBy("v1", "v2").agg(
         *[F.min(F.when(F.col("kind") == k, F.col("e"))).alias(f"e{k}") for k in range(3)], F.count(F.lit(1)).alias("n")
     ).where("n > 1")
     met = rows.join(firsts, ["v1", "v2"])
     earlier = F.when(F.col("kind") == 0, F.col("e0")).when(F.col("kind") == 1, F.col("e2")).otherwise(F.col("e1"))
-    near = stored(met.where(earlier < F.col("e")).select("e").distinct(), "near")
+    near = stored(met.where(earlier < F.col("e")).select("e", F.col("mark").alias("e_mark")).distinct(), "near")
 
-    known = classes.select("c1", "c2", place(F.col("e.doc_id"), F.col("e.line")).alias("e"))
-    known = known.join(near.withColumn("goes", F.lit(True)), "e", "left")
+    known = classes.select("c1", "c2", place(F.col("e.doc_id"), F.col("e.line")).alias("e"), F.col("e.mark").alias("e_mark"))
+    known = known.join(near.withColumn("goes", F.lit(True)), ["e", "e_mark"], "left")
     found = lines.join(known, ["c1", "c2"])
-    gone = F.col("again") | F.col("goes").isNotNull() | (F.col("e") < place(F.col("doc_id"), F.col("line")))
+    here = place(F.col("doc_id"), F.col("line"))
+    gone = F.col("again") | F.col("goes").isNotNull() | (F.col("e") < here) | ((F.col("e") == here) & (F.col("e_mark") < F.col("mark")))
     return found.where(gone).groupBy("doc_id", "mark").agg(F.sort_array(F.collect_set("line")).alias("lines"))
 
 

@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from featloom.llm.common import LAST_ID, mix, near_keys, rows_of, stored
 from featloom.llm.winnow import BASE, find_runs, prefix_sums, span_hash
 
-TAGS = 2**16
 BLOCK = 8  # distances to the anchor that are looked at together
 WIDE = 4096  # over the length of any window
 RUNS = 400_000  # that a task holds before it reduces and passes them on
@@ -45,11 +44,8 @@ class Spec:
 
 
 def key_columns() -> list[Column]:
-    """d and tag: the id, with NULL last, and a short hash of the text."""
-    return [
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("d"),
-        F.pmod(F.xxhash64("text"), F.lit(TAGS)).alias("tag"),
-    ]
+    """d and tag: the id, with NULL last, and a hash of the text, which tells apart rows that share an id."""
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("d"), F.xxhash64("text").alias("tag")]
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -69,7 +65,7 @@ def merged(d: np.ndarray, tag: np.ndarray, first: np.ndarray, last: np.ndarray)
 def reduced(
     a: np.ndarray, b: np.ndarray, d: np.ndarray, tag: np.ndarray, first: np.ndarray, last: np.ndarray, offset: np.ndarray, within: bool
 ) -> pa.RecordBatch:
-    """Rows (a, b, d, pos, span, flag): the first of each class (a, b), and merged ranges of those that repeat it.
+    """Rows (a, b, d, tag, first, span, flag): the first of each class (a, b), and merged ranges of those that repeat it.
 
     The span of the former also holds the anchor's distance from the first start.
     """
@@ -94,14 +90,15 @@ def reduced(
         np.concatenate((a[keep], spread)),
         np.concatenate((b[keep], np.zeros(len(fd), np.int64))),
         np.concatenate((d[keep], fd)),
-        np.concatenate((first[keep] * TAGS + tag[keep], ff * TAGS + ft)),
+        np.concatenate((tag[keep], ft)),
+        np.concatenate((first[keep], ff)),
         np.concatenate(((offset * WIDE + last - first)[keep], fl - ff)).astype(np.int32),
         np.concatenate((np.zeros(int(keep.sum()), bool), np.ones(len(fd), bool))),
     ]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "d", "pos", "span", "flag"])
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "d", "tag", "first", "span", "flag"])
 
 
-ROWS = "a long, b long, d long, pos long, span int, flag boolean"
+ROWS = "a long, b long, d long, tag long, first long, span int, flag boolean"
 
 
 class Collector:
@@ -147,28 +144,28 @@ def _runs(spec: Spec):
 
 
 def _classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (a, b, d) to (d, pos, span, open): repeats, and first runs whose anchor has other contexts.
+    """Rows sorted by (a, b, d) to (d, tag, first, span, open): repeats, and first runs whose anchor has other contexts.
 
     Anchors at the edge of the partition may go on in the next one and count as having others.
     """
 
-    def send(d, pos, span, is_open) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (d, pos, span, is_open)], names=["d", "pos", "span", "open"])
+    def send(d, tag, start, span, is_open) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (d, tag, start, span, is_open)], names=["d", "tag", "first", "span", "open"])
 
     held = None  # rows of the anchor the last batch ended in: those not yet given out, or one that was, as a mark
     many = True  # whether that anchor has other contexts
     for batch in batches:
-        a, b, d, pos, span, flag = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(6))
+        a, b, d, tag, start, span, flag = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(7))
         if flag.any():
-            yield send(d[flag], pos[flag], span[flag], np.zeros(int(flag.sum()), bool))
-        now = [x[~flag] for x in (a, b, d, pos, span)]
+            yield send(d[flag], tag[flag], start[flag], span[flag], np.zeros(int(flag.sum()), bool))
+        now = [x[~flag] for x in (a, b, d, tag, start, span)]
         ghost = np.zeros(len(now[0]), bool)
         if not len(ghost):
             continue
         if held is not None:
-            now = [np.concatenate(x) for x in zip(held[:5], now)]
-            ghost = np.concatenate((held[5], ghost))
-        a, b, d, pos, span = now
+            now = [np.concatenate(x) for x in zip(held[:6], now)]
+            ghost = np.concatenate((held[6], ghost))
+        a, b, d, tag, start, span = now
         new_a = np.concatenate(([True], np.diff(a) != 0))
         new_b = new_a | np.concatenate(([True], np.diff(b) != 0))
         first = np.maximum.accumulate(np.where(new_b, np.arange(len(a)), 0))
@@ -182,25 +179,25 @@ def _classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give = ~again & several[group] & ~ghost & ~wait
         again &= ~ghost
         out = give | again
-        yield send(d[out], pos[out], np.where(give, span, span % WIDE)[out], give[out])
+        yield send(d[out], tag[out], start[out], np.where(give, span, span % WIDE)[out], give[out])
         if ends_open:
             mark = np.array([first[-1]])
             held, many = [x[mark] for x in now] + [np.ones(1, bool)], True
         else:
             held, many = [x[wait] for x in now] + [ghost[wait]], False
     if held is not None:
-        rest = ~held[5]
-        yield send(held[2][rest], held[3][rest], held[4][rest], np.ones(int(rest.sum()), bool))
+        rest = ~held[6]
+        yield send(held[2][rest], held[3][rest], held[4][rest], held[5][rest], np.ones(int(rest.sum()), bool))
 
 
 def _blocks(spec: Spec):
-    """(c, d, pos, span): blocks of windows of the open runs; c is the hash of what a block's windows share."""
+    """(c, d, tag, first, span): blocks of windows of the open runs; c is the hash of what a block's windows share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
 
         def flush() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts)], names=["c", "d", "pos", "span"])
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts)], names=["c", "d", "tag", "first", "span"])
 
         for d, tag, text, first, span in rows_of(batches, "d", "tag", "text", "first", "span"):
             part = spec.symbols(text)
@@ -214,7 +211,7 @@ def _blocks(spec: Spec):
             near = anchor[of] - block * BLOCK  # the last start of the whole block
             begin, end = np.maximum(f[of], near - BLOCK + 1), np.minimum(last[of], near)
             c = mix(span_hash(sums, near, near - BLOCK + 1 + spec.length) ^ mix(block.astype(np.uint64)))
-            parts.append((c.view(np.int64), np.full(len(of), d, np.int64), begin * TAGS + tag, (end - begin).astype(np.int32)))
+            parts.append((c.view(np.int64), np.full(len(of), d, np.int64), np.full(len(of), tag, np.int64), begin, (end - begin).astype(np.int32)))
             size += len(of)
             if size > RUNS:
                 yield flush()
@@ -244,9 +241,8 @@ def _windows(spec: Spec):
 
 
 def _with_texts(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """(d, tag, text, first, span) of the documents in ``found`` (d, pos, span), which becomes a list for each."""
-    first, tag = F.shiftright("pos", 16), F.col("pos").bitwiseAND(F.lit(TAGS - 1))
-    lists = found.groupBy("d", tag.alias("tag")).agg(F.collect_list(F.struct(first.alias("first"), "span")).alias("r"))
+    """(d, tag, text, first, span) of the documents in ``found`` (d, tag, first, span), which becomes a list for each."""
+    lists = found.groupBy("d", "tag").agg(F.collect_list(F.struct("first", "span")).alias("r"))
     lists = stored(lists.select("d", "tag", F.col("r.first").alias("first"), F.col("r.span").alias("span"), F.xxhash64("d", "tag").alias("key")), "lists")
     texts = near_keys(rows, lists, "key").dropDuplicates(["d", "tag"])
     return texts.join(lists.drop("key"), ["d", "tag"]).select("d", "tag", "text", "first", "span")
@@ -257,23 +253,22 @@ def repeated_starts(docs: DataFrame, spec: Spec) -> DataFrame:
     rows = keyed(docs)
     runs = rows.select("d", "tag", "text").mapInArrow(_runs(spec), ROWS)
     runs = runs.repartitionByRange("a", "b").sortWithinPartitions("a", "b", "d")
-    found = stored(runs.mapInArrow(_classify, "d long, pos long, span int, open boolean"), "runs")
+    found = stored(runs.mapInArrow(_classify, "d long, tag long, first long, span int, open boolean"), "runs")
 
     texts = _with_texts(rows, found.where("open").drop("open"))
-    blocks = stored(texts.mapInArrow(_blocks(spec), "c long, d long, pos long, span int"), "blocks")
+    blocks = stored(texts.mapInArrow(_blocks(spec), "c long, d long, tag long, first long, span int"), "blocks")
     others = F.count(F.lit(1)) > 1 if spec.within else F.min("d") < F.max("d")
     shared = blocks.groupBy("c").agg(others.alias("shared")).where("shared")
-    texts = _with_texts(rows, blocks.join(shared, "c", "left_semi").select("d", "pos", "span"))
+    texts = _with_texts(rows, blocks.join(shared, "c", "left_semi").select("d", "tag", "first", "span"))
     single = stored(texts.mapInArrow(_windows(spec), ROWS), "windows")
 
     fresh = single.where("NOT flag")
     least = fresh.groupBy("a", "b").agg(F.min("d").alias("least"), F.max("d").alias("most")).where("least < most")
-    later = fresh.join(least, ["a", "b"]).where("d > least").select("d", "pos", F.lit(0).alias("span"))
-    later = later.unionByName(single.where("flag").select("d", "pos", "span"))
-    later = later.unionByName(found.where("NOT open").select("d", "pos", "span"))
-    first, tag = F.shiftright("pos", 16), F.col("pos").bitwiseAND(F.lit(TAGS - 1))
-    pair = F.struct(first.alias("first"), (first + F.col("span")).alias("last"))
-    ranges = later.groupBy("d", tag.alias("tag")).agg(F.array_sort(F.collect_list(pair)).alias("ranges"))
+    later = fresh.join(least, ["a", "b"]).where("d > least").select("d", "tag", "first", F.lit(0).alias("span"))
+    later = later.unionByName(single.where("flag").select("d", "tag", "first", "span"))
+    later = later.unionByName(found.where("NOT open").select("d", "tag", "first", "span"))
+    pair = F.struct("first", (F.col("first") + F.col("span")).alias("last"))
+    ranges = later.groupBy("d", "tag").agg(F.array_sort(F.collect_list(pair)).alias("ranges"))
     return stored(ranges.withColumn("key", F.xxhash64("d", "tag")), "ranges")
 
 
