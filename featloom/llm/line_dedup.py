@@ -2,8 +2,8 @@
 
 Two lines are alike if their words are the same or, in lines of at least
 ``NEAR_WORDS`` words, if one inserted, deleted or replaced word makes them the
-same.  Lines below ``MIN_WORDS`` words repeat without meaning and are left alone.
-A line goes if a like line stands earlier, by (doc_id, line number), in the input.
+same; lines without words are left alone.  A line goes if a like line stands
+earlier, by (doc_id, line number), in the input.
 
 Each different line is looked at once, at its earliest place.  Its neighbourhood
 is the line without one of its words, for each of them; equal variants meet by
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from featloom.llm.common import LAST_ID, mix, near_keys, rows_of, stored
 from featloom.llm.winnow import BASE, powers, prefix_sums, span_hash
 
-MIN_WORDS, NEAR_WORDS = 5, 10
+NEAR_WORDS = 10
 GROUP_WORDS = 300_000
 SECOND = np.uint64(0xD6E8FEB86659FD93)  # makes the second half of a 128-bit hash
 PLACE = "decimal(38,0)"
@@ -93,7 +93,7 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for doc, mark, text in rows_of(batches, "doc_id", "mark", "text"):
         for i, line in enumerate((text or b"").split(b"\n")):
             words = line.split()
-            if len(words) >= MIN_WORDS:
+            if words:
                 docs.append(doc), marks.append(mark), at.append(i), lines.append(words)
                 size += len(words)
         if size > GROUP_WORDS:
@@ -226,7 +226,7 @@ def report(docs: DataFrame) -> DataFrame:
 SQL = r"""
 l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM @docs WHERE text IS NOT NULL),
 lw AS (SELECT doc_id, k, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS ws FROM l),
-c AS (SELECT ws, min((doc_id, k)) AS e FROM lw WHERE len(ws) >= 5 GROUP BY ws),
+c AS (SELECT ws, min((doc_id, k)) AS e FROM lw WHERE len(ws) > 0 GROUP BY ws),
 v AS (SELECT ws, e, unnest(range(1, len(ws) + 1)) AS i FROM c WHERE len(ws) >= 10),
 d AS (SELECT e, i, len(ws) AS n, ws[1:i-1] || ws[i+1:] AS g FROM v),
 s AS (SELECT e, min(e) OVER (PARTITION BY g, i, n) AS f FROM d),
@@ -234,7 +234,7 @@ near AS (SELECT e FROM s WHERE f < e
          UNION SELECT d.e FROM d JOIN c ON d.g = c.ws WHERE c.e < d.e
          UNION SELECT c.e FROM d JOIN c ON d.g = c.ws WHERE d.e < c.e),
 judged AS (SELECT lw.*, coalesce(c.e < (doc_id, k) OR near.e IS NOT NULL, false) AS gone
-           FROM lw LEFT JOIN c ON len(lw.ws) >= 5 AND lw.ws = c.ws LEFT JOIN near ON c.e = near.e),
+           FROM lw LEFT JOIN c ON lw.ws = c.ws LEFT JOIN near ON c.e = near.e),
 deduped AS (SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_removed,
               coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE NOT gone), '') AS good FROM judged GROUP BY doc_id)
 """

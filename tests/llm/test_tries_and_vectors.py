@@ -3,6 +3,7 @@
 import hashlib
 import random
 from collections import defaultdict
+from functools import reduce
 from math import floor, isfinite, nan
 from zlib import crc32
 
@@ -168,7 +169,8 @@ def plain_nearest(rows, nearest=20, step=20):
     out = {}
     for q, v in kept:
         if q % step == 0:
-            scores = [(-sum(a * b for a, b in zip(v, w)), i) for i, w in kept if i != q and len(w) == len(v)]
+            inner = lambda w: reduce(lambda t, p: t + p[0] * p[1], zip(v, w), 0.0)  # noqa: B023, E731  sum() would compensate
+            scores = [(-inner(w), i) for i, w in kept if i != q and len(w) == len(v)]
             out[q] = [(i, -s) for s, i in sorted(scores)[:nearest]]
     return out
 
