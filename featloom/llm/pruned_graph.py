@@ -4,10 +4,10 @@ The different vectors are dealt out by hash to shards of some ``SHARD_ROWS``, an
 each shard gets a graph of its own: nodes are inserted in growing batches, a
 greedy search from the shard's middle proposes neighbours, and relaxed distance
 pruning keeps an edge only if no kept neighbour is closer to its end by the factor
-``ALPHA``.  Largest inner product becomes least distance by one more component,
-which lifts all vectors of a shard to the same norm.  A query is sent to every
-shard, a beam search there returns its best vectors, and the best of all shards
-remain.  A task holds one shard and streams the queries past it.
+``ALPHA``.  The graph is one of directions, so long vectors do not drown short ones;
+a beam search goes along its edges by inner product, from the longest vector.  A
+query is sent to every shard, and the best of all shards remain.  A task holds one
+shard and streams the queries past it.
 
 Every row is in the index: equal vectors are one node, with as many of their
 smallest ids as a result can hold.  Scores are summed in double precision, in the
@@ -36,31 +36,27 @@ QUERY_STEP = 20  # rows whose id this divides are the queries of the report
 SHARD_ROWS = 8192
 DEGREE, WIDE = 32, 64  # edges left by pruning; edges a node may gather before it is pruned again
 ALPHA = 1.2
-BUILD_BEAM, BEAM, EXPAND = 64, 80, 8  # nodes kept in a search; nodes expanded at once
+BUILD_BEAM, BEAM, EXPAND = 64, 96, 8  # nodes kept in a search; nodes expanded at once
 BLOCK = 256  # searches that run side by side
 FAR = np.float32(np.inf)
 
 
-def lifted(vectors: np.ndarray) -> np.ndarray:
-    """Vectors, scaled together, with one more component that gives all the norm of the longest."""
-    vectors = vectors / np.abs(vectors).max()
-    square = (vectors**2).sum(1)
-    more = np.sqrt(np.maximum(square.max() - square, 0))
-    return np.column_stack([vectors, more]).astype(np.float32)
+def directions(vectors: np.ndarray) -> np.ndarray:
+    vectors = vectors / np.abs(vectors).max(1)[:, None]
+    return (vectors / np.sqrt((vectors**2).sum(1))[:, None]).astype(np.float32)
 
 
-def greedy(x: np.ndarray, edges: np.ndarray, start: int, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, distances) of the ``beam`` closest nodes each search has seen, closest first; -1 where there are fewer.
+def greedy(x: np.ndarray, edges: np.ndarray, start: int, queries: np.ndarray, beam: int) -> np.ndarray:
+    """The ``beam`` nodes of largest inner product each search has seen, best first; -1 where there are fewer.
 
-    Distances are squared and lack the query's own square.
+    Among vectors of one length these are also the closest.
     """
     n, b = len(x), len(queries)
-    square = (x * x).sum(1)
     ids = np.full((b, beam), -1, np.int32)
     dist = np.full((b, beam), FAR, np.float32)
     fresh = np.zeros((b, beam), bool)
     seen = np.zeros(b * n, np.int32)  # the number a pair of search and node was found under
-    ids[:, 0], dist[:, 0], fresh[:, 0] = start, square[start] - 2 * queries @ x[start], True
+    ids[:, 0], dist[:, 0], fresh[:, 0] = start, -(queries @ x[start]), True
     seen[np.arange(b) * n + start] = 1
     last, going = 1, np.arange(b)
     while len(going):
@@ -80,7 +76,7 @@ def greedy(x: np.ndarray, edges: np.ndarray, start: int, queries: np.ndarray, be
         last += len(number)
         at, near = at[new], near[new]
         if len(at):
-            d = square[near] - 2 * np.einsum("ij,ij->i", x[near], queries[going[at]])
+            d = -np.einsum("ij,ij->i", x[near], queries[going[at]])
             count = np.bincount(at, minlength=len(going))
             place = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
             wide = count.max()
@@ -95,7 +91,7 @@ def greedy(x: np.ndarray, edges: np.ndarray, start: int, queries: np.ndarray, be
             ids[going] = np.take_along_axis(all_ids, best, 1)
             fresh[going] = np.take_along_axis(all_fresh, best, 1)
         going = going[fresh[going].any(1)]
-    return ids, dist
+    return ids
 
 
 def pruned(x: np.ndarray, nodes: np.ndarray, found: np.ndarray) -> np.ndarray:
@@ -123,9 +119,9 @@ def pruned(x: np.ndarray, nodes: np.ndarray, found: np.ndarray) -> np.ndarray:
     return out
 
 
-def graph(vectors: np.ndarray, seed: int = 0) -> tuple[np.ndarray, int]:
-    """(edges of each node, -1 where there are fewer; where searches start)."""
-    x = lifted(vectors)
+def graph(vectors: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Edges of each node, -1 where there are fewer."""
+    x = directions(vectors)
     n = len(x)
     start = int(((x - x.mean(0)) ** 2).sum(1).argmin())
     edges = np.full((n, WIDE), -1, np.int32)
@@ -134,13 +130,13 @@ def graph(vectors: np.ndarray, seed: int = 0) -> tuple[np.ndarray, int]:
     done = 1
     while done < n:
         batch = order[done : done + min(max(done, 8), 1024)]
-        found = np.concatenate([greedy(x, edges, start, x[batch[a : a + BLOCK]], BUILD_BEAM)[0] for a in range(0, len(batch), BLOCK)])
+        found = np.concatenate([greedy(x, edges, start, x[batch[a : a + BLOCK]], BUILD_BEAM) for a in range(0, len(batch), BLOCK)])
         kept = pruned(x, batch, found)
         edges[batch, :DEGREE] = kept
         source, k = np.nonzero(kept >= 0)
         backward(x, edges, kept[source, k], batch[source])
         done += len(batch)
-    return edges, start
+    return edges
 
 
 def backward(x: np.ndarray, edges: np.ndarray, node: np.ndarray, new: np.ndarray) -> None:
@@ -205,13 +201,10 @@ def matrix(batch: pa.RecordBatch, name: str, size: int) -> np.ndarray:
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def built(unit: tuple, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         rows = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
-        edges, start = graph(matrix(rows, "vec", unit[0]).astype(np.float64), seed=unit[1])
+        edges = graph(matrix(rows, "vec", unit[0]).astype(np.float64), seed=unit[1])
         near = pa.FixedSizeListArray.from_arrays(pa.array(edges.ravel()), WIDE).cast(pa.list_(pa.int32()))
         node = np.arange(len(edges), dtype=np.int32)
-        return (
-            rows.append_column("node", pa.array(node)).append_column("edges", near)
-            .append_column("start", pa.array(node == start))
-        )
+        return rows.append_column("node", pa.array(node)).append_column("edges", near)
 
     unit, parts = None, []
     for batch in batches:
@@ -230,7 +223,7 @@ def index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     rows = stored(different(usable(vectors)), "vectors")
     shards = max(1, -(-rows.count() // shard_rows))
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("vec"), F.lit(shards)).cast("int"))
-    more = [T.StructField("node", T.IntegerType()), T.StructField("edges", T.ArrayType(T.IntegerType())), T.StructField("start", T.BooleanType())]
+    more = [T.StructField("node", T.IntegerType()), T.StructField("edges", T.ArrayType(T.IntegerType()))]
     schema = T.StructType(rows.schema.fields + more)
     return stored(dealt(rows, shards).mapInArrow(_index, schema), "graphs")
 
@@ -250,9 +243,9 @@ def _search(nearest: int, beam: int):
             node = rows.column("node").to_numpy()
             rows = rows.take(pa.array(np.argsort(node)))
             self.vectors = matrix(rows, "vec", size).astype(np.float64)
-            self.x = lifted(self.vectors)
+            scaled = self.vectors / np.abs(self.vectors).max()
+            self.x, self.start = scaled.astype(np.float32), int((scaled**2).sum(1).argmax())
             self.edges = matrix(rows, "edges", WIDE)
-            self.start = int(np.flatnonzero(rows.column("start").to_numpy(zero_copy_only=False))[0])
             lists = rows.column("ids")
             self.count = lists.value_lengths().to_numpy().astype(np.int64)
             self.names = lists.flatten().to_numpy()
@@ -260,8 +253,8 @@ def _search(nearest: int, beam: int):
 
         def find(self, name: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             """(query_id, vec_id, score) of the nearest of the shard."""
-            scaled = np.column_stack([queries / np.abs(queries).max(1)[:, None], np.zeros(len(queries))])
-            ids, _ = greedy(self.x, self.edges, self.start, scaled.astype(np.float32), beam)
+            scaled = queries / np.abs(queries).max(1)[:, None]
+            ids = greedy(self.x, self.edges, self.start, scaled.astype(np.float32), beam)
             score = np.where(ids >= 0, exact_scores(queries, self.vectors, ids), -np.inf)
             least = self.names[self.first[ids]]
             best = np.lexsort((least, -score), axis=1)[:, : nearest + 1]

@@ -211,6 +211,6 @@ def test_recall_over_shards(spark, scaled):
     score[np.arange(100), np.arange(100)] = -np.inf
     best = np.argsort(-score, axis=1)[:, :20]
     recall = np.mean([len(set(best[q]) & {i for i, _ in found[q]}) / 20 for q in range(100)])
-    assert recall >= 0.95
+    assert recall >= 0.95, recall
     for q in range(100):
         assert np.allclose([s for _, s in found[q]], score[q, [i for i, _ in found[q]]], rtol=1e-12)
