@@ -12,6 +12,8 @@ from featloom.operators import rowstats as rs
 from featloom.operators import topics
 from featloom.operators import vectorize as vec
 from featloom.operators.joins import attach
+from featloom.operators.sparse_neighbors import sparse_ann
+from featloom.plans.sizing import cut_lineage
 
 
 def _weights(t, max_features=300):
@@ -147,6 +149,19 @@ def _(t):
     return nb.ann(t.embeddings, t.embeddings, "vec_id", "embedding", 5, probes=3, exclude_self=True, cell_rows=50).select("query_id", "rank", "neighbour_id")
 
 
+@check("sparse_fold_neighbours_k5")
+def _(t):
+    """Each document's five closest in the other folds, by tf-idf; documents without a label search all folds in turn."""
+    docs = t.docs.select("doc_id", "text", "quality", F.pmod("doc_id", F.lit(5)).alias("fold"))
+    weights = cut_lineage(vec.tfidf(vec.term_counts(docs, "doc_id", "text"), "doc_id", docs.count()))
+    labelled = docs.filter("quality IS NOT NULL").select("doc_id", "fold")
+    every = docs.filter("quality IS NULL").select("doc_id", F.explode(F.array(*[F.lit(i) for i in range(5)])).alias("fold"))
+    train = weights.join(labelled.select("doc_id"), "doc_id", "left_semi")
+    asks = labelled.unionByName(every.withColumn("fold", F.col("fold").cast("long")))
+    near = sparse_ann(train, weights, "doc_id", 5, train_folds=labelled, query_folds=asks)
+    return rounded(near, "dist")
+
+
 @check(
     "geo_codes_by_city_k6",
     """SELECT c_custkey, n_name || '_' || r_name AS city_region, n_regionkey AS geo_code FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",

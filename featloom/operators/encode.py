@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featloom.operators.joins import attach
-from featloom.plans.prefix import quantile_rows, sorted_codes
+from featloom.plans.prefix import sorted_codes
+from featloom.plans.selection import values_at
 
 
 def label_encode(df: DataFrame, cols: list[str], suffix: str = "") -> DataFrame:
@@ -59,9 +60,14 @@ def one_hot(df: DataFrame, cat_cols: list[str], num_cols: list[str] = (), weight
 
 def bin_edges(df: DataFrame, col: str, q: int) -> DataFrame:
     """One row: sorted distinct edges of ``q`` equal-frequency bins."""
-    steps = [i / q for i in range(q + 1)]
-    rows = quantile_rows(df, [], col, steps)
-    return rows.agg(F.array_sort(F.collect_set("value")).alias("edges"))
+    return df.sparkSession.createDataFrame([(edges_of(df, col, [q])[q],)], "edges array<double>")
+
+
+def edges_of(df: DataFrame, col: str, sizes: list[int]) -> dict[int, list[float]]:
+    """The sorted distinct edges for every number of bins, all from the same passes."""
+    steps = sorted({i / q for q in sizes for i in range(q + 1)})
+    found = dict(zip(steps, values_at(df, probs={col: steps})[col]))
+    return {q: sorted({v for i in range(q + 1) if (v := found[i / q]) is not None}) for q in sizes}
 
 
 def add_bin(df: DataFrame, x: Column, edges: str, name: str, most: int) -> DataFrame:
@@ -94,10 +100,8 @@ def quantile_bins(df: DataFrame, col: str, q: int, fit_on: DataFrame | None = No
 def bin_count_scores(df: DataFrame, col: str, y: str, sizes: list[int]) -> DataFrame:
     """Mean within-bin standard deviation of ``y`` for every bin count."""
     rows = df.select(F.col(col).cast("double").alias("x"), F.col(y).alias("y")).dropna()
-    per_size = [
-        F.struct(F.lit(q).alias("n_bins"), bin_edges(df.filter(F.col(y).isNotNull()), col, q).scalar().alias("edges"))
-        for q in sizes
-    ]
+    edges = edges_of(rows, "x", sizes)
+    per_size = [F.struct(F.lit(q).alias("n_bins"), F.lit(edges[q]).cast("array<double>").alias("edges")) for q in sizes]
     # few candidate sizes: each value is binned once per size
     each = rows.withColumn("s", F.explode(F.array(*per_size))).select("x", "y", "s.n_bins", "s.edges")
     binned = add_bin(each, F.col("x"), "edges", "bin", max(sizes) + 1)

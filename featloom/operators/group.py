@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from featloom.operators.joins import attach
 from featloom.plans.fusion import AGGREGATES, QUANTILES, Spec, by_key
 from featloom.plans.prefix import exact_quantiles, sortable
-from featloom.plans.skew import keyed_left_join
+from featloom.plans.selection import values_at
+from featloom.plans.sizing import cut_lineage
+from featloom.plans.skew import Side, keyed_left_join, keyed_left_joins
 
 
 def null_safe(a_keys: list[str], prefix: str) -> Column:
@@ -40,14 +42,12 @@ def group_stats(df: DataFrame, keys: list[str], specs: list[Spec], mark: str = "
 
 
 def group_features(df: DataFrame, specs: list[Spec], source: DataFrame | None = None, mark: str = "") -> DataFrame:
-    """Add every feature to the rows of ``df``: one aggregation and one keyed join
-    per distinct key, however many features share it."""
+    """Add every feature to the rows of ``df``: one aggregation per distinct key, however many
+    features share it, and one join for all keys."""
     origin = df if source is None else source
-    for key, group in by_key(specs).items():
-        keys = list(key)
-        weight = "__n" if source is None else None
-        df = keyed_left_join(df, group_stats(origin, keys, group, mark, weight), keys, weight)
-    return df
+    weight = "__n" if source is None else None
+    sides = [Side(group_stats(origin, list(key), group, mark, weight), list(key), weight) for key, group in by_key(specs).items()]
+    return keyed_left_joins(df, sides)
 
 
 # fixed values: the standing feature list of the listing tables
@@ -105,6 +105,7 @@ def activity_rollup(items: DataFrame, periods: DataFrame, medians: bool = False)
         F.count("date_to").alias("times_put_up"),
     )
     both = owners.join(per_item, "item_id", "full")
+    both = cut_lineage(both) if medians else both
     known = both.filter(F.col("user_id").isNotNull())
     users = known.groupBy("user_id").agg(
         F.avg("days_up_sum").alias("avg_days_up_user"),
@@ -112,8 +113,12 @@ def activity_rollup(items: DataFrame, periods: DataFrame, medians: bool = False)
         F.count(F.lit(1)).alias("n_user_items"),
     )
     if medians:
-        for col, name in (("days_up_sum", "med_days_up_user"), ("times_put_up", "med_times_up_user")):
-            users = users.join(exact_quantiles(known, ["user_id"], col, {name: 0.5}), "user_id", "left")
+        kinds = {"med_days_up_user": "days_up_sum", "med_times_up_user": "times_put_up"}
+        values = [F.struct(F.lit(i).alias("kind"), F.col(c).cast("double").alias("x")) for i, c in enumerate(kinds.values())]
+        each = known.select("user_id", F.explode(F.array(*values)).alias("v")).select("user_id", "v.kind", "v.x")
+        found = exact_quantiles(each, ["user_id", "kind"], "x", {"m": 0.5}).groupBy("user_id")
+        middle = found.agg(*[F.max(F.when(F.col("kind") == i, F.col("m"))).alias(n) for i, n in enumerate(kinds)])
+        users = users.join(middle, "user_id", "left")
     with_periods = both.filter(F.col("times_put_up").isNotNull()).select("item_id", "user_id")
     sized = users.withColumn("__n", F.col("n_user_items"))
     per_item_user = keyed_left_join(with_periods, sized, ["user_id"], weight="__n")
@@ -238,13 +243,15 @@ def histogram(df: DataFrame, col: str, n: int) -> DataFrame:
 
 
 def scalars(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75)) -> DataFrame:
-    """Mean, sample std and exact quantiles of whole columns, long form."""
-    parts = []
-    for c in cols:
-        row = df.agg(F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"))
-        names = {f"p{round(p * 100)}": p for p in probs}
-        q = exact_quantiles(df, [], c, names)
-        packed = q.select(F.struct(*names)).scalar()
-        row = row.withColumn("__q", packed)
-        parts.append(row.select(F.lit(c).alias("column"), "mean", "std", *[F.col("__q")[p].alias(p) for p in names]))
-    return reduce(DataFrame.unionByName, parts)
+    """Mean, sample std and exact quantiles of whole columns, long form; the quantiles of all columns share their passes."""
+    names = [f"p{round(p * 100)}" for p in probs]
+    found = values_at(df, probs={c: list(probs) for c in cols})
+    wide = df.agg(*[f(c).alias(f"{c}__{n}") for c in cols for n, f in (("mean", F.avg), ("std", F.stddev_samp))])
+    rows = [
+        F.struct(
+            F.lit(c).alias("column"), F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"),
+            *[F.lit(v).cast("double").alias(n) for n, v in zip(names, found[c])],
+        )
+        for c in cols
+    ]
+    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from featloom.plans.selection import values_at
 from featloom.plans.sizing import block_count, cut_lineage
 
 
@@ -92,12 +93,9 @@ def _ranked_values(df: DataFrame, keys: list[str], col: str, blocks: int | None)
     )
     ranked = running_sums(counted, keys, ["__v"], {"__cum": F.col("__n")}, blocks=blocks)
     sizes = counted.groupBy(*keys).agg(F.sum("__n").alias("__size"))
-    if keys:
-        renamed = sizes.select(*[F.col(k).alias(f"__s_{k}") for k in keys], "__size")
-        cond = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__s_{k}")) for k in keys])
-        ranked = ranked.join(renamed, cond)
-    else:
-        ranked = ranked.withColumn("__size", sizes.scalar())
+    renamed = sizes.select(*[F.col(k).alias(f"__s_{k}") for k in keys], "__size")
+    cond = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__s_{k}")) for k in keys])
+    ranked = ranked.join(renamed, cond)
     return ranked.select(
         *keys, "__v", (F.col("__cum") - F.col("__n")).alias("__lo"), (F.col("__cum") - 1).alias("__hi"), "__size"
     )
@@ -107,6 +105,10 @@ def quantile_rows(
     df: DataFrame, keys: list[str], col: str, probs: list[float], blocks: int | None = None
 ) -> DataFrame:
     """(keys, i, value): the interpolated quantile ``probs[i]`` (rank p*(n-1)) per key."""
+    if not keys:
+        found = values_at(df, probs={col: probs})[col]
+        known = [(i, v) for i, v in enumerate(found) if v is not None]
+        return df.sparkSession.createDataFrame(known, "i int, value double")
     ranked = _ranked_values(df, keys, col, blocks)
     ranks = F.transform(
         F.array(*[F.lit(float(p)) for p in probs]), lambda p, i: F.struct(i.alias("i"), (p * (F.col("__size") - 1)).alias("r"))
