@@ -153,6 +153,23 @@ def _(t):
     return rounded(mo.blend_search(df, "y", ["q1", "q2", "q3"], 50), "q1", "q2", "q3", "rmse")
 
 
+FIVE = {"q1": "p1", "q2": "p2 * 2 - 0.4", "q3": "p3", "q4": "p1 * p2 * 2", "q5": "1.2 - p3"}
+
+
+@check(
+    "five_model_blend_o16",
+    f"""WITH w AS (SELECT a / 20.0 AS w1, b / 20.0 AS w2, c / 20.0 AS w3, d / 20.0 AS w4, (20 - a - b - c - d) / 20.0 AS w5
+      FROM range(1, 20) t(a), range(1, 20) u(b), range(1, 20) v(c), range(1, 20) x(d) WHERE a + b + c + d < 20),
+    r AS (SELECT y, {', '.join(f'{e} AS {n}' for n, e in FIVE.items())} FROM preds),
+    s AS (SELECT w1, w2, w3, w4, w5, sqrt(AVG(pow(y - LEAST(GREATEST(w1 * q1 + w2 * q2 + w3 * q3 + w4 * q4 + w5 * q5, 0), 1), 2))) AS rmse FROM r, w GROUP BY ALL)
+    SELECT {', '.join(R(f'w{i}', f'q{i}') for i in range(1, 6))}, {R('rmse', 'rmse')} FROM s ORDER BY s.rmse, w1, w2, w3, w4 LIMIT 1""",
+    ("preds",),
+)
+def _(t):
+    df = t.preds.select("y", *[F.expr(e).alias(n) for n, e in FIVE.items()])
+    return rounded(mo.blend_search(df, "y", list(FIVE), 20), *FIVE, "rmse")
+
+
 @check("fixed_blend_o17", f"SELECT item_id, {R('0.5 * p1 + 0.3 * p2 + 0.2 * p3', 'pred')} FROM preds", ("preds",))
 def _(t):
     return rounded(mo.blend(t.preds, {"p1": 0.5, "p2": 0.3, "p3": 0.2}).select("item_id", "pred"), "pred")

@@ -16,30 +16,31 @@ from featloom.operators.sparse_neighbors import sparse_ann
 from featloom.plans.sizing import cut_lineage
 
 
-def _weights(t, max_features=300):
-    tc = vec.term_counts(t.documents, "doc_id", "text")
-    kept = vec.prune_vocab(vec.vocabulary(tc), min_df=5, max_features=max_features)
+def _weights(t):
+    """tf-idf of all terms."""
     n_docs = t.documents.agg(F.count(F.lit(1))).scalar()
-    return vec.tfidf(vec.restrict(tc, kept), "doc_id", n_docs)
+    return vec.tfidf(vec.term_counts(t.documents, "doc_id", "text"), "doc_id", n_docs)
 
 
 @check("svd_scores_v10")
 def _(t):
     scores, _ = topics.svd_scores(_weights(t), "doc_id", "w", 5, ids=t.documents)
-    return scores.select("doc_id", F.round(F.get("scores", F.lit(0)), 4).alias("s0"), F.size("scores").alias("k"))
+    return scores.select("doc_id", F.posexplode("scores").alias("component", "score")).withColumn("score", F.round("score", 4))
 
 
 @check("lda_topics_v11")
 def _(t):
     docs = t.documents.select("doc_id", tx.clean_tokens(F.col("text")).alias("tokens"))
-    shares, _, _ = topics.lda_topics(docs, "doc_id", "tokens", 5, iters=5)
-    return topics.topic_shares(shares.withColumnRenamed("shares", "raw"), "raw").select("doc_id", "topic")
+    shares = topics.lda_transform(docs, "doc_id", topics.lda_fit(docs, "tokens", 5, iters=5))
+    shared = topics.topic_shares(shares.withColumnRenamed("shares", "raw"), "raw")
+    return shared.select("doc_id", F.transform("shares", lambda v: F.round(v, 4)).alias("shares"), "topic")
 
 
 @check("nmf_topics_v12")
 def _(t):
     docs, _, _ = topics.nmf_topics(_weights(t), "doc_id", "w", 5, iters=4, ids=t.documents)
-    return topics.topic_shares(docs, "f").select("doc_id", "topic")
+    shared = topics.topic_shares(docs, "f")
+    return shared.select("doc_id", F.transform("shares", lambda v: F.round(v, 4)).alias("shares"), "topic")
 
 
 @check(
@@ -56,8 +57,8 @@ def _(t):
 @check("word_vectors_v14")
 def _(t):
     docs = t.documents.select(tx.clean_tokens(F.col("text")).alias("tokens"))
-    vectors = topics.train_vectors(docs, "tokens", size=10, window=3, min_count=20)
-    return vectors.select("word", F.size("vector").alias("size"))
+    vectors = topics.train_vectors(docs, "tokens", size=10, window=3, min_count=1)
+    return vectors.select("word", F.transform("vector", lambda v: F.round(v, 4)).alias("vector"))
 
 
 @check(

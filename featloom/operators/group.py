@@ -7,6 +7,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from featloom.operators.joins import attach
 from featloom.plans.fusion import AGGREGATES, QUANTILES, Spec, by_key
@@ -232,7 +233,9 @@ def value_counts(df: DataFrame, col: str, min_count: int = 0) -> DataFrame:
 
 
 def histogram(df: DataFrame, col: str, n: int) -> DataFrame:
-    """Rows per fixed-width bin between the smallest and largest value (top bin closed)."""
+    """Rows per fixed-width bin between the smallest and largest value (top bin closed) of numbers, dates or times."""
+    if isinstance(df.schema[col].dataType, T.StringType):
+        raise TypeError(f"{col} is a string, which has no width; use value_counts")
     x = F.col("x")
     rows = df.select(sortable(df, col).alias("x")).filter(x.isNotNull())
     ends = rows.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()

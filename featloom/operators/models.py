@@ -357,27 +357,40 @@ def blend_search(df: DataFrame, y: str, cols: list[str], steps: int = 100, small
 
     Where all predictions lie in [0, 1] a blend needs no clipping, and its error is a
     quadratic in the weights with coefficients from one aggregation.  For the other
-    rows the target lies in [0, 1], so clipping only lowers the error: zero and the
-    unclipped quadratic bound it.  Only weights whose lower bound does not exceed the
-    smallest upper bound are evaluated with clipping, over those rows alone.
+    rows zero bounds the clipped error from below, and the unclipped quadratic from above
+    if the target lies in [0, 1].  Weights stay a table in the order of their lower
+    bound; blocks of ``CHUNK`` are evaluated with clipping, over those rows alone, until
+    the next bound passes the best error found.  The driver holds one block.
     """
     rows = _usable(df, y, cols).persist()
     inside = reduce(Column.__and__, [F.col(c).between(0.0, 1.0) for c in cols])
     moments = _moments(rows, y, cols, inside)
     (n_in, m_in), (n_out, m_out) = moments[True], moments[False]
+    ends = rows.agg(F.min(y).alias("low"), F.max(y).alias("high")).first()
     grid = weight_grid(df.sparkSession, cols, steps, smallest)
     low = _squared_error(m_in, cols)
     scored = grid.select("id", *cols, low.alias("low"), (low + _squared_error(m_out, cols)).alias("high"))
     # rounding of the quadratic must not lose the best point
     slack = 1e-9 * (float(m_in[0, 0] + m_out[0, 0]) + 1.0)
-    limit = scored.agg(F.min("high")).scalar()
-    left = scored.filter(F.col("low") <= limit + slack).orderBy("id").collect()
-    weights = np.array([[r[c] for c in cols] for r in left])
-    error = np.array([r.low for r in left])
-    if n_out:
-        error = error + _clipped_error(rows.filter(~inside), y, cols, weights)
+    if ends.low is not None and 0 <= ends.low and ends.high <= 1:
+        scored = scored.filter(F.col("low") <= scored.agg(F.min("high")).scalar() + slack)
+    left = cut_lineage(scored.select("id", *cols, "low"))
+    outside = rows.filter(~inside)
+    best, bound, last = None, float("inf"), None
+    while True:
+        after = F.lit(True) if last is None else (F.col("low") > last.low) | ((F.col("low") == last.low) & (F.col("id") > last.id))
+        block = left.filter(after & (F.col("low") <= bound + slack)).orderBy("low", "id").limit(CHUNK).collect()
+        if not block:
+            break
+        weights = np.array([[r[c] for c in cols] for r in block])
+        error = np.array([r.low for r in block])
+        if n_out:
+            error = error + _clipped_error(outside, y, cols, weights)
+        at = min(range(len(block)), key=lambda i: (error[i], block[i].id))
+        if best is None or (error[at], block[at].id) < best[:2]:
+            best, bound = (error[at], block[at].id, weights[at]), float(error[at])
+        last = block[-1]
     rows.unpersist()
-    best = int(np.argmin(error))
-    score = float(np.sqrt(max(error[best], 0.0) / (n_in + n_out)))
-    data = [(*[float(v) for v in weights[best]], score)]
+    score = float(np.sqrt(max(best[0], 0.0) / max(n_in + n_out, 1)))
+    data = [(*[float(v) for v in best[2]], score)]
     return df.sparkSession.createDataFrame(data, ", ".join(f"{c} double" for c in [*cols, "rmse"]))

@@ -168,6 +168,29 @@ def stack_blocks(blocks: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def category_block(df: DataFrame, id_col: str, cols: list[str]) -> DataFrame:
+    """(id, term, w): one-hot codes in long form; a missing category is no term."""
+    pairs = [F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{c}="), F.col(c).cast("string"))) for c in cols]
+    return df.select(id_col, F.explode(F.array_compact(F.array(*pairs))).alias("term")).withColumn("w", F.lit(1.0))
+
+
+def number_block(df: DataFrame, id_col: str, cols: list[str]) -> DataFrame:
+    """(id, term, w): numeric columns (predictions, counts) in long form; missing numbers are no term."""
+    cells = [F.struct(F.lit(c).alias("term"), F.col(c).cast("double").alias("w")) for c in cols]
+    return df.select(id_col, F.explode(F.array(*cells)).alias("c")).select(id_col, "c.*").filter("w IS NOT NULL")
+
+
+def block_features(rows: DataFrame, id_col: str, blocks: dict[str, DataFrame], name: str = "features") -> DataFrame:
+    """``rows`` with all blocks (id, term, w) side by side as one sparse vector; a row without a term gets zeros.
+
+    Terms of different blocks are different columns; columns follow the order of block and term.
+    """
+    from featloom.operators.topics import to_sparse
+
+    vectors, _ = to_sparse(stack_blocks({n: b.select(id_col, "term", "w") for n, b in blocks.items()}), id_col, "w", ids=rows)
+    return rows.join(vectors.withColumnRenamed("vec", name), id_col)
+
+
 def hash_terms(
     tc: DataFrame, id_col: str, n_features: int = 2**18, signed: bool = False,
     ngram_weights: list[float] | None = None, binary: bool = False, min_support: int | None = None,
@@ -182,7 +205,8 @@ def hash_terms(
     if signed:
         value = F.when(F.shiftright(h, 62).bitwiseAND(F.lit(1)) == 0, value).otherwise(-value)
     rows = tc.select(id_col, F.pmod(h, F.lit(n_features)).cast("int").alias("bucket"), value.alias("w"))
-    combine = F.max("w") if binary else F.sum("w")
+    # with signs, terms of one bucket may cancel; presence is then the sign of what is left
+    combine = F.sum("w") if not binary else F.signum(F.sum("w")) if signed else F.max("w")
     out = rows.groupBy(id_col, "bucket").agg(combine.alias("w"))
     if min_support is None:
         return out

@@ -28,10 +28,6 @@ def sortable(df: DataFrame, name: str) -> Column:
         return F.unix_micros(col).cast("double")
     if isinstance(dtype, T.TimestampNTZType):
         return F.unix_micros(col.cast("timestamp")).cast("double")
-    if isinstance(dtype, T.StringType):
-        # first six bytes, UTF-8 order, exact in a double
-        head = F.rpad(F.substring(F.hex(F.encode(col, "UTF-8")), 1, 12), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
     return col.cast("double")
 
 

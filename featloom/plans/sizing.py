@@ -39,13 +39,15 @@ def block_count(df: DataFrame) -> int:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by spark.checkpoint.dir; a local one only in local mode."""
+    """Folder named by spark.checkpoint.dir; in local mode without that setting, a temporary one for the whole session."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not re.match(r"local(\[|$)", spark.sparkContext.master):  # local-cluster[...] has executors of its own
         raise ValueError("set spark.checkpoint.dir to a shared folder")
-    return tempfile.mkdtemp(prefix="featloom-")
+    folder = "file://" + tempfile.mkdtemp(prefix="featloom-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
