@@ -97,8 +97,9 @@ def _narrow(rows: DataFrame, pieces: dict[int, list[Interval]], need: list[list[
     rows = rows.join(F.broadcast(spark.createDataFrame(table, "i int, k int, low double, high double")), "i") if table else rows
     while open_parts:
         width = max(64, CELLS // len(open_parts))
-        # halves, so that the difference of two numbers is a number
-        share = (F.col("v") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2)
+        # halves where the difference of the ends is beyond all numbers
+        half = F.when(F.col("high") - F.col("low") == math.inf, 0.5).otherwise(1.0)
+        share = (F.col("v") * half - F.col("low") * half) / (F.col("high") * half - F.col("low") * half)
         cells = rows.withColumn("b", F.least(F.floor(share * width), F.lit(width - 1)).cast("int"))
         counts = cells.groupBy("k", "b").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
         by_part: dict[int, list] = {}
