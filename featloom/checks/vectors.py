@@ -9,8 +9,10 @@ from featloom.functions import columns as fx
 from featloom.functions import text as tx
 from featloom.operators import neighbors as nb
 from featloom.operators import rowstats as rs
+from featloom.operators import topic_model as lda
 from featloom.operators import topics
 from featloom.operators import vectorize as vec
+from featloom.operators import word_vectors as wv
 from featloom.operators.joins import attach
 from featloom.operators.sparse_neighbors import sparse_ann
 from featloom.plans.sizing import cut_lineage
@@ -30,8 +32,8 @@ def _(t):
 
 @check("lda_topics_v11")
 def _(t):
-    docs = t.documents.select("doc_id", tx.clean_tokens(F.col("text")).alias("tokens"))
-    shares = topics.lda_transform(docs, "doc_id", topics.lda_fit(docs, "tokens", 5, iters=5))
+    weights, _, _ = lda.lda_fit(vec.term_counts(t.documents, "doc_id", "text"), "doc_id", "n", 5, rounds=8)
+    shares = lda.lda_shares(weights, "doc_id", 5, ids=t.documents)
     shared = topics.topic_shares(shares.withColumnRenamed("shares", "raw"), "raw")
     return shared.select("doc_id", F.transform("shares", lambda v: F.round(v, 4)).alias("shares"), "topic")
 
@@ -61,6 +63,23 @@ def _(t):
     return vectors.select("word", F.transform("vector", lambda v: F.round(v, 4)).alias("vector"))
 
 
+@check("cooccurrence_vectors_v14")
+def _(t):
+    docs = t.documents.select(tx.clean_tokens(F.col("text")).alias("tokens"))
+    vectors = wv.cooccurrence_vectors(docs, "tokens", size=10, window=2, rounds=2)
+    return vectors.select("word", "n", F.transform("vector", lambda v: F.round(v, 4)).alias("vector"))
+
+
+PAIR_COUNTS = r"""WITH d AS (SELECT list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: length(w) >= 2) AS w FROM documents),
+p AS (SELECT w, o, unnest(range(1, len(w) - o + 1)) AS i FROM d, (SELECT unnest([1, 2]) AS o)), q AS (SELECT w[i] AS a, w[i + o] AS b FROM p)
+SELECT word, context, COUNT(*) AS n FROM (SELECT a AS word, b AS context FROM q UNION ALL SELECT b, a FROM q) GROUP BY 1, 2"""
+
+
+@check("cooccurrence_counts_v14", PAIR_COUNTS)
+def _(t):
+    return wv.cooccurrences(t.documents.select(tx.clean_tokens(F.col("text")).alias("tokens")), "tokens", 2)
+
+
 @check(
     "pooled_vectors_v15",
     f"""WITH d AS (SELECT label, i, CAST(embedding[i] AS DOUBLE) AS v FROM (SELECT label, embedding, unnest(range(1, 65)) AS i FROM embeddings))

@@ -137,16 +137,6 @@ def test_nmf_objective_never_rises(counts):
     assert ((dense(data) - w @ h) ** 2).sum() == pytest.approx(losses[-1], rel=1e-6)
 
 
-def test_lda_shares_sum_to_one(counts):
-    tc, _ = counts
-    docs = tc.groupBy("id").agg(F.collect_list("term").alias("tokens"))
-    shares, terms, _ = topics.lda_topics(docs, "id", "tokens", 3, iters=3)
-    assert all(sum(r.shares) == pytest.approx(1.0) for r in shares.collect())
-    assert terms.count() == 3 * 15
-    fitted = topics.lda_fit(docs, "tokens", 3, iters=3)
-    some = topics.lda_transform(docs.filter("id < 4"), "id", fitted).collect()
-    assert len(some) == 4 and all(len(r.shares) == 3 for r in some)
-
 
 def test_pooled_vectors(spark):
     df = spark.createDataFrame([(1, ["a", "b", "a"]), (2, ["zz"])], "id long, t array<string>")
