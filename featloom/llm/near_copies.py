@@ -7,8 +7,11 @@ vertical bit planes with carry-save counters, as in ``bitslice``.  A unit gives
 that connect all it has found close, closest first; the shingle sets of both ends
 decide which edges hold, and connected documents are a group.
 
-A pair is missed if no choice of bits agrees or if it is further than ``RADIUS``; a
-group is missed only if all its pairs are.  Measured recall stands in the README.
+Fingerprints miss a pair if no choice of bits agrees, if it is further than ``RADIUS``, or if
+only edges that do not hold connect it.  So an exact search follows, between what is still
+apart: in one order of all shingles, the first fifth (and one) of the shingles of two
+documents that are alike have one in common.  Shingles that many such beginnings share
+come last in the order.  What meets and may be alike by its sizes and places is verified.
 
 Cases: documents of the same lower-cased words are one node; NULL and texts without
 words are alike; NULL ids stay and meet nobody; very long texts are hashed in
@@ -25,8 +28,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featloom.llm.bitslice import _split, fingerprint, forest, packed, pieces, planes_of, signed
-from featloom.llm.common import near_keys, stored
+from featloom.llm.bitslice import _split, bit_counts, fingerprint, forest, packed, pieces, planes_of, signed
+from featloom.llm.common import bitmap, may_hold, near_keys, stored
 from featloom.llm.components import components
 
 SHINGLE = 5
@@ -34,6 +37,7 @@ RADIUS, TABLES, BITS = 14, 32, 12
 STEPS = (3, 8, RADIUS)  # closest first: each step connects what the one before left apart
 GROUP = 2048
 ROWS = 50_000
+OFTEN = 64  # beginnings that share a shingle; more make it one of the last in the order
 
 
 def masks(tables: int = TABLES, bits: int = BITS) -> list[int]:
@@ -102,17 +106,34 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         u, v = forest(found, len(unit))
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(name[u], name[v])), pa.array(np.maximum(name[u], name[v]))], names=["u", "v"])
 
+    for part in whole_units(batches, "unit", "fp", "name"):
+        yield flush(*part)
+
+
+def whole_units(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[list[np.ndarray]]:
+    """The named columns, some ``ROWS`` rows at a time; the first is sorted, and no value of it is divided."""
     kept: list[np.ndarray] | None = None
     for batch in batches:
-        new = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("unit", "fp", "name")]
+        new = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
         now = new if kept is None else [np.concatenate(x) for x in zip(kept, new)]
         whole = np.searchsorted(now[0], now[0][-1]) if len(now[0]) else 0  # the last unit may go on
         if whole >= ROWS:
-            yield flush(*(x[:whole] for x in now))
+            yield [x[:whole] for x in now]
             now = [x[whole:] for x in now]
         kept = now
     if kept is not None and len(kept[0]):
-        yield flush(*kept)
+        yield kept
+
+
+def units(rows: DataFrame, group: int) -> DataFrame:
+    """``rows`` (key, n, name, ...) with ``unit`` for key, sorted by it; more than ``group`` (n, else NULL) are cut into chunks that meet in pairs."""
+    chunks = F.ceil(F.col("n") / group)
+    mine = F.pmod(F.xxhash64("name"), chunks)
+    pairs = F.transform(
+        F.sequence(F.lit(0).cast("long"), chunks - 1), lambda c: F.xxhash64(F.col("key"), F.least(mine, c), F.greatest(mine, c))
+    )
+    each = F.when(F.col("n").isNull(), F.array("key")).otherwise(pairs)
+    return rows.withColumn("unit", F.explode(each)).drop("key", "n").repartition("unit").sortWithinPartitions("unit")
 
 
 def candidates(nodes: DataFrame, group: int = GROUP) -> DataFrame:
@@ -122,50 +143,136 @@ def candidates(nodes: DataFrame, group: int = GROUP) -> DataFrame:
     """
     fp = F.col("fp")
     keys = F.array(*[F.xxhash64(F.lit(i), fp.bitwiseAND(F.lit(signed(m)))) for i, m in enumerate(masks())])
-    rows = _split(nodes.select("fp", "name", F.explode(keys).alias("key")), group)
-    chunks = F.ceil(F.col("n") / group)
-    mine = F.pmod(F.xxhash64("fp", "name"), chunks)
-    units = F.transform(
-        F.sequence(F.lit(0).cast("long"), chunks - 1), lambda c: F.xxhash64(F.col("key"), F.least(mine, c), F.greatest(mine, c))
-    )
-    units = F.when(F.col("n").isNull(), F.array("key")).otherwise(units)
-    rows = rows.select(F.explode(units).alias("unit"), "fp", "name").repartition("unit").sortWithinPartitions("unit")
+    rows = units(_split(nodes.select("fp", "name", F.explode(keys).alias("key")), group), group)
     return rows.mapInArrow(_edges, "u long, v long").distinct()
 
 
-def shingles(text: pa.Buffer | bytes | None, size: int = SHINGLE) -> np.ndarray:
-    """The set of the lower-cased text's shingles, as sorted 32-bit hashes."""
-    digest, found, words = xxhash.xxh64_intdigest, [], []
+def shingle_hashes(text: pa.Buffer | bytes | None, size: int = SHINGLE) -> Iterator[np.ndarray]:
+    """Hashes of the lower-cased text's shingles, as ``fingerprint`` has them, those of a long text in pieces."""
+    digest, words, some = xxhash.xxh64_intdigest, [], False
     for more in pieces(text or b""):
         words += more
-        if len(words) >= size:
-            parts = (b" ".join(words[i : i + size]) for i in range(len(words) - size + 1))
-            found.append(np.unique(np.fromiter((digest(p) & 0xFFFFFFFF for p in parts), np.uint32)))
-            words = words[len(words) - size + 1 :]
-    if not found and words:
-        found.append(np.array([digest(b" ".join(words)) & 0xFFFFFFFF], np.uint32))
-    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint32)
+        if len(words) < size:
+            continue
+        line = b" ".join(words)
+        ends = np.cumsum([len(w) + 1 for w in words])
+        starts = np.concatenate(([0], ends[: len(words) - size]))
+        stops = ends[size - 1 :] - 1
+        yield np.fromiter((digest(line[a:b], 42) for a, b in zip(starts.tolist(), stops.tolist())), np.uint64, len(starts))
+        words, some = words[len(words) - size + 1 :], True
+    if words and not some:
+        yield np.array([digest(b" ".join(words), 42)], np.uint64)
+
+
+def shingles(text: pa.Buffer | bytes | None, size: int = SHINGLE) -> np.ndarray:
+    """The set of the lower-cased text's shingles, as sorted hashes."""
+    found = [np.unique(part) for part in shingle_hashes(text, size)]
+    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+
+
+def beginning(found: np.ndarray, often: np.ndarray | None = None) -> np.ndarray:
+    """So many of a sorted set's first shingles that two sets of similarity 0.8 have one in common; those of the bitmap ``often`` stand last."""
+    if often is not None:
+        last = may_hold(often, found)
+        found = np.concatenate([found[~last], found[last]])
+    return found[: len(found) // 5 + 1]
 
 
 def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, w1, w2, fp): hashes of the lower-cased words, and the fingerprint."""
+    """(doc_id, w1, w2, fp, size, first): hashes of the lower-cased words, the fingerprint, number and beginning of the shingles."""
     for batch in batches:
         rows = []
         for t in batch.column("text"):
             text = t.as_buffer() or b""
-            state = xxhash.xxh3_128()
-            for words in pieces(text):
-                if words:
-                    state.update(b" ".join(words) + b" ")
-            rows.append((*np.frombuffer(state.digest(), np.int64).tolist(), fingerprint(text, SHINGLE)))
-        columns = [pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 3)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", "w1", "w2", "fp"])
+            total, count, parts = np.zeros(64, np.int64), 0, []
+            for hashes in shingle_hashes(text):
+                total += bit_counts(hashes)
+                count += len(hashes)
+                parts.append(np.unique(hashes))
+            found = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+            fp = int(np.packbits(2 * total > count, bitorder="little").view(np.int64)[0]) if count else 0
+            rows.append((*words_mark(text), fp, len(found), beginning(found).view(np.int64)))
+        columns = list(zip(*rows)) if rows else [[]] * 5
+        arrays = [*[pa.array(c, pa.int64()) for c in columns[:4]], pa.array(columns[4], pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], names=["doc_id", "w1", "w2", "fp", "size", "first"])
+
+
+def words_mark(text: pa.Buffer | bytes) -> list[int]:
+    """128 bits of hash of the lower-cased words."""
+    state = xxhash.xxh3_128()
+    for words in pieces(text):
+        if words:
+            state.update(b" ".join(words) + b" ")
+    return np.frombuffer(state.digest(), np.int64).tolist()
+
+
+def _again(often):
+    """(w1, w2, other): the beginning with the shingles of ``often`` last, of texts whose plain beginning has any of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for t in batch.column("text"):
+                text = t.as_buffer()
+                found = shingles(text)
+                if may_hold(often.value, beginning(found)).any():
+                    rows.append((*words_mark(text or b""), beginning(found, often.value).view(np.int64)))
+            w1, w2, other = zip(*rows) if rows else [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(w1, pa.int64()), pa.array(w2, pa.int64()), pa.array(other, pa.list_(pa.int64()))], names=["w1", "w2", "other"])
+
+    return run
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(u, v) of different roots that share a shingle and may be alike by their sizes and its places; rows come sorted by unit."""
+
+    def fits(size: np.ndarray, at: np.ndarray, root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        left = 1 + np.minimum(size[i] - at[i] - 1, size[j] - at[j] - 1)
+        return (root[i] != root[j]) & (9 * left >= 4 * (size[i] + size[j]))
+
+    for unit, name, size, at, root in whole_units(batches, "unit", "name", "size", "at", "root"):
+        begin = np.flatnonzero(np.diff(unit, prepend=unit[0] - 1 if unit[0] else 1))
+        count = np.diff(np.append(begin, len(unit)))
+        mixed = np.minimum.reduceat(root, begin) != np.maximum.reduceat(root, begin)
+        us, vs = [], []
+        left = np.repeat(np.where(mixed & (count <= OFTEN), begin + count, 0), count) - np.arange(len(unit))
+        for s in range(1, int(left.max(initial=1))):
+            i = np.flatnonzero(left > s)
+            ok = fits(size, at, root, i, i + s)
+            us.append(name[i[ok]]), vs.append(name[i[ok] + s])
+        for a, n in zip(begin[mixed & (count > OFTEN)], count[mixed & (count > OFTEN)]):
+            every = np.arange(a, a + n)
+            values, where, each = np.unique(root[every], return_inverse=True, return_counts=True)
+            for i in every[where != each.argmax()]:  # the rest is apart from nobody else
+                j = every[fits(size, at, root, np.full(n, i), every)]
+                us.append(np.full(len(j), name[i])), vs.append(name[j])
+        u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (us, vs))
+        pairs = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)]), axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["u", "v"])
+
+
+def apart(texts: DataFrame, nodes: DataFrame, group: int = GROUP, often: int = OFTEN) -> DataFrame:
+    """(u, v): all pairs of ``nodes`` (w1, w2, name, size, first, root) of different roots that may be alike."""
+    shared = nodes.select(F.explode("first").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    shared = stored(shared.where(F.col("n") > often).select("key"), "shared")
+    if shared.head(1):
+        bits = texts.sparkSession.sparkContext.broadcast(bitmap(shared, "key"))
+        other = texts.mapInArrow(_again(bits), "w1 long, w2 long, other array<long>").dropDuplicates(["w1", "w2"])
+        other = stored(other, "again")
+        nodes = nodes.join(other, ["w1", "w2"], "left").withColumn("first", F.coalesce("other", "first"))
+        large = other.select(F.explode("other").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        large = stored(large.where(F.col("n") > group - often), "large")
+    else:
+        large = shared.withColumn("n", F.lit(1).cast("long"))
+    rows = nodes.select("name", "size", "root", F.posexplode("first").alias("at", "key"))
+    rows = rows.withColumn("at", F.col("at").cast("long")).join(large, "key", "left")
+    return units(rows, group).mapInArrow(_meet, "u long, v long").distinct()
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [shingles(t.as_buffer()).view(np.int32) for t in batch.column("text")]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.list_(pa.int32()))], names=["name", "s"])
+        found = [shingles(t.as_buffer()).view(np.int64) for t in batch.column("text")]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.list_(pa.int64()))], names=["name", "s"])
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,7 +280,7 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
         for a, b in zip(batch.column("a"), batch.column("b")):
-            a, b = (x.values.to_numpy().view(np.uint32) for x in (a, b))
+            a, b = (x.values.to_numpy().view(np.uint64) for x in (a, b))
             both = len(np.intersect1d(a, b, assume_unique=True))
             keep.append(5 * both >= 4 * (len(a) + len(b) - both))
         yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
@@ -185,7 +292,7 @@ def verified(docs: DataFrame, edges: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     texts = near_keys(texts, ends.withColumnRenamed("name", "doc_id"), "doc_id") if ends.head(1) else texts.limit(0)
     texts = texts.dropDuplicates(["doc_id"]).join(ends, F.col("doc_id") == F.col("name"), "left_semi")
-    sets = stored(texts.mapInArrow(_sets, "name long, s array<int>"), "sets")
+    sets = stored(texts.mapInArrow(_sets, "name long, s array<long>"), "sets")
     pairs = edges.join(sets.select(F.col("name").alias("u"), F.col("s").alias("a")), "u")
     pairs = pairs.join(sets.select(F.col("name").alias("v"), F.col("s").alias("b")), "v")
     return pairs.select("u", "v", "a", "b").mapInArrow(_alike, "u long, v long")
@@ -194,12 +301,19 @@ def verified(docs: DataFrame, edges: DataFrame) -> DataFrame:
 def groups(docs: DataFrame) -> DataFrame:
     """(doc_id, component_id): each document with the smallest id of its group of near-duplicates."""
     rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    marks = stored(rows.mapInArrow(_marks, "doc_id long, w1 long, w2 long, fp long"), "marks")
-    nodes = stored(marks.groupBy("w1", "w2").agg(F.min("doc_id").alias("name"), F.first("fp").alias("fp")), "nodes")
-    edges = stored(candidates(nodes), "candidates")
-    roots = components(verified(docs, edges)).select(F.col("node").alias("name"), "root")
-    named = nodes.join(roots, "name", "left").select("w1", "w2", F.coalesce("root", "name").alias("component_id"))
-    return marks.join(named, ["w1", "w2"]).select("doc_id", "component_id")
+    marks = stored(rows.mapInArrow(_marks, "doc_id long, w1 long, w2 long, fp long, size long, first array<long>"), "marks")
+    one = F.first(F.struct("fp", "size", "first")).alias("one")
+    nodes = stored(marks.groupBy("w1", "w2").agg(F.min("doc_id").alias("name"), one).select("w1", "w2", "name", "one.*"), "nodes")
+    edges = stored(verified(docs, stored(candidates(nodes), "candidates")), "alike")
+
+    def rooted(edges: DataFrame) -> DataFrame:
+        roots = components(edges).select(F.col("node").alias("name"), "root")
+        return nodes.join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))
+
+    more = stored(apart(rows.select("text"), stored(rooted(edges), "rooted")), "apart")
+    more = stored(verified(docs, more), "more")
+    named = rooted(edges.unionByName(more)).select("w1", "w2", F.col("root").alias("component_id"))
+    return marks.select("doc_id", "w1", "w2").join(named, ["w1", "w2"]).select("doc_id", "component_id")
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from featloom.llm import near_copies
 
@@ -96,3 +97,47 @@ def test_odd_rows(spark):
     assert out.columns == df.columns
     assert sorted((r.doc_id or 0, r.text == long) for r in out.collect()) == [(0, True), (1, False), (4, False), (6, False), (7, True), (9, False)]
     assert near_copies.deduplicate(df.limit(0)).count() == 0
+
+
+def templates(rng, number):
+    """Texts at the edge of similarity 0.8 and beyond, around shared passages that many texts have."""
+    shared = [[f"s{k}x{i}" for i in range(120)] for k in range(3)]
+    texts = {}
+    for i in range(number):
+        words = list(rng.choice(shared)) + [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(0, 60))]
+        for k in range(rng.choice([1, 2, 3])):
+            texts[len(texts) + 1] = " ".join(changed(rng, words, rng.choice([0.02, 0.08, 0.1, 0.12])) if k else words)
+    return texts
+
+
+@pytest.mark.parametrize("group", [16, 2048])
+def test_no_pair_is_left_out(spark, group):
+    texts = templates(random.Random(5), 150)
+    rows = [(d, t, None, None, None) for d, t in texts.items()]
+    docs = spark.createDataFrame(rows, DOCS).repartition(4)
+    marks = docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
+        near_copies._marks, "doc_id long, w1 long, w2 long, fp long, size long, first array<long>"
+    )
+    nodes = marks.withColumn("name", F.col("doc_id")).withColumn("root", F.col("doc_id"))
+    text = docs.select(F.col("text").cast("binary").alias("text"))
+    found = {(r.u, r.v) for r in near_copies.apart(text, nodes, group, often=8).collect()}
+    sets = {d: plain_shingles(t) for d, t in texts.items()}
+    want = {(a, b) for a in sets for b in sets if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
+    assert len(want) > 100 and want <= found
+
+
+def test_all_groups_of_templates(spark):
+    texts = templates(random.Random(6), 200)
+    rows = [(d, t, None, None, None) for d, t in texts.items()]
+    found = {r.doc_id: r.component_id for r in near_copies.groups(spark.createDataFrame(rows, DOCS).repartition(4)).collect()}
+    assert found == plain_groups(texts)
+
+
+def test_marks_are_fingerprints_of_the_text():
+    import pyarrow as pa
+
+    texts = ["", None, "one two", "a b c d e f g " * 30, " ".join(f"word{i % 4999}" for i in range(60_000))]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array([t and t.encode() for t in texts], pa.binary())], names=["doc_id", "text"])
+    (out,) = near_copies._marks(iter([batch]))
+    assert out.column("fp").to_pylist() == [near_copies.fingerprint((t or "").encode(), 5) for t in texts]
+    assert out.column("size").to_pylist()[:3] == [0, 0, 1]
