@@ -240,3 +240,10 @@ def test_stream_equals_batch(spark, tmp_path):
     streamed = daily.stream_stats(spark, daily.daily_stats(rows, "ts", "value", "user_id"), str(tmp_path / "out"))
     batch = daily.daily_stats(df, "ts", "value", "user_id")
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_more_than_a_hundred_classes(spark):
+    rows = [(i, f"c{i % 150:03}", float(i % 150)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, y string, x double")
+    out = mo.predict_targets(df, df, {"y": ("forest_class", {"numTrees": 1, "maxDepth": 1, "seed": 1})}, [], ["x"], "id")
+    assert out.filter("y_pred IS NOT NULL").count() == 300
