@@ -2,62 +2,87 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from featloom.functions.columns import bind
-from featloom.functions.text import clean_tokens, sequence_tokens, words
+from featloom.functions.text import SPACE, clean_tokens, sequence_tokens
 from featloom.operators.joins import attach
 from featloom.plans.prefix import running_sums
-from featloom.plans.sizing import spread
+from featloom.plans.sizing import cut_lineage, is_small, spread
 from featloom.plans.skew import keyed_left_join
 
+# (document, term) rows that a task sends on together
+ROWS = 100_000
+# a vocabulary of files up to this size is broadcast whole
+BROADCAST_BYTES = 4 * 1024 * 1024
 
-EMPTY = "array<string>"
 
+def word_ngrams(tokens: list[str], sizes: tuple[int, int]) -> list[str]:
+    """All n-grams of a token list, n from sizes[0] to sizes[1]."""
+    every = range(sizes[0], sizes[1] + 1)
+    return [g for n in every for g in (tokens if n == 1 else map(" ".join, zip(*[tokens[i:] for i in range(n)])))]
 
-def _slices(items: Column, n: int, glue: str) -> Column:
-    """Joined runs of ``n`` consecutive items."""
-    starts = F.sequence(F.lit(1), F.size(items) - (n - 1))
-    joined = F.transform(starts, lambda i: F.array_join(F.slice(items, i, F.lit(n)), glue))
-    return F.when(F.size(items) >= n, joined).otherwise(F.array().cast(EMPTY))
 
+def char_ngrams(text: str, sizes: tuple[int, int]) -> list[str]:
+    """Character n-grams of a (long) text; an empty text is one empty character."""
+    if not text:
+        return [""] if sizes[0] <= 1 <= sizes[1] else []
+    return [text[i : i + n] for n in range(sizes[0], sizes[1] + 1) for i in range(len(text) - n + 1)]
 
-def word_ngrams(tokens: Column, sizes: tuple[int, int]) -> Column:
-    """All n-grams of a token array, n from sizes[0] to sizes[1]."""
-    if sizes == (1, 1):
-        return tokens
-    every = range(sizes[0], sizes[1] + 1)
-    return bind(tokens, lambda ts: F.concat(*[ts if n == 1 else _slices(ts, n, " ") for n in every]))
 
+def piece_ngrams(piece: str, sizes: tuple[int, int]) -> list[str]:
+    """Character n-grams of a short string; a string shorter than the smallest size counts once as a whole."""
+    return [piece] if len(piece) < sizes[0] else char_ngrams(piece, sizes)
 
-def char_ngrams(text: Column, n_range: tuple[int, int]) -> Column:
-    """Character n-grams of a (long) text."""
-    every = range(n_range[0], n_range[1] + 1)
-    # a character array is sliced in constant time, substring rescans the text
-    return bind(F.split(text, ""), lambda cs: F.concat(*[_slices(cs, n, "") for n in every]))
 
+def _word_counts(text: str, sizes: tuple[int, int]) -> Counter:
+    return Counter(word_ngrams(text.split(" ") if text else [], sizes))
 
-def piece_ngrams(df: DataFrame, piece: str, sizes: tuple[int, int]) -> DataFrame:
-    """One row (``term``) per character n-gram of a short string; a string shorter
-    than the smallest size counts once as a whole.
 
-    The n-grams are numbered across the sizes, and a row's number gives its size and
-    start, so rows are generated from a plain sequence and cut by ``substring``.
-    """
-    length = F.length(piece)
-    total, firsts = F.lit(0), []
-    for n in range(sizes[0], sizes[1] + 1):
-        firsts.append((n, total))
-        total = total + F.greatest(length - (n - 1), F.lit(0))
-    rows = df.withColumn("__i", F.explode(F.sequence(F.lit(0), F.greatest(total - 1, F.lit(0)))))
-    term = F.col(piece)  # the whole string when it is short
-    for n, first in firsts:
-        cut = F.substring(F.col(piece), F.col("__i") - first + 1, F.lit(n))
-        term = F.when((F.col("__i") >= first) & (length >= n), cut).otherwise(term)
-    return rows.withColumn("term", term).drop("__i")
+def _char_counts(text: str, sizes: tuple[int, int]) -> Counter:
+    return Counter(char_ngrams(text, sizes))
+
+
+def _char_wb_counts(text: str, sizes: tuple[int, int]) -> Counter:
+    # repeated words of a document are cut once and counted by their number
+    out: Counter = Counter()
+    for word, n in Counter(w for w in re.split(SPACE, text) if w).items():
+        for gram in piece_ngrams(f" {word} ", sizes):
+            out[gram] += n
+    return out
+
+
+def _counted(df: DataFrame, id_col: str, text: str, count, sizes: tuple[int, int]) -> DataFrame:
+    """(id, term, n) of each row by itself."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = batch.column(0), batch.column(1)
+            at, terms, numbers = [], [], []
+
+            def send() -> pa.RecordBatch:
+                arrays = [ids.take(pa.array(at, pa.int64())), pa.array(terms, pa.string()), pa.array(numbers, pa.int64())]
+                return pa.RecordBatch.from_arrays(arrays, names=[id_col, "term", "n"])
+
+            for i, value in enumerate(texts):
+                found = count(value.as_py(), sizes) if value.is_valid else {}
+                at += [i] * len(found)
+                terms += found.keys()
+                numbers += found.values()
+                if len(at) > ROWS:
+                    yield send()
+                    at, terms, numbers = [], [], []
+            yield send()
+
+    schema = T.StructType([df.schema[id_col], T.StructField("term", T.StringType()), T.StructField("n", T.LongType())])
+    return df.select(id_col, text).mapInArrow(run, schema)
 
 
 def term_counts(
@@ -69,25 +94,28 @@ def term_counts(
     stopwords: list[str] = (),
 ) -> DataFrame:
     """(id, term, n).  'word': letter/digit runs of two or more characters;
-    'char': n-grams of the squeezed text; 'char_wb': n-grams inside blank-padded words."""
-    df = spread(df.select(id_col, text))
-    if analyzer == "word":
-        tokens = df.select(id_col, clean_tokens(F.col(text), list(stopwords)).alias("__t"))
-        grams = tokens.select(id_col, F.explode(word_ngrams(F.col("__t"), ngrams)).alias("term"))
-        return grams.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("n"))
+    'char': n-grams of the squeezed text; 'char_wb': n-grams inside blank-padded words.
+
+    A row is counted where it is read.  Only the terms of ids that several rows
+    share (NULL is such an id) are shuffled and added up.
+    """
     lowered = F.regexp_replace(F.lower(text), r"[ \t\r\n]{2,}", " ")
-    if analyzer == "char":
-        grams = df.select(id_col, F.explode(char_ngrams(lowered, ngrams)).alias("term"))
-        return grams.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("n"))
-    if analyzer != "char_wb":
+    kinds = {
+        "word": (F.array_join(clean_tokens(F.col(text), list(stopwords)), " "), _word_counts),
+        "char": (lowered, _char_counts), "char_wb": (lowered, _char_wb_counts),
+    }
+    if analyzer not in kinds:
         raise ValueError(analyzer)
-    # repeated words of a document are cut once and counted by their number
-    pieces = df.select(id_col, F.explode(words(lowered)).alias("__w")).groupBy(id_col, "__w").agg(
-        F.count(F.lit(1)).alias("__c")
-    )
-    padded = pieces.select(id_col, F.concat(F.lit(" "), "__w", F.lit(" ")).alias("__w"), "__c")
-    grams = piece_ngrams(padded, "__w", ngrams)
-    return grams.groupBy(id_col, "term").agg(F.sum("__c").alias("n"))
+    form, count = kinds[analyzer]
+    ids = df.groupBy(F.col(id_col).alias("__id")).agg(F.count(F.lit(1)).alias("__n"))
+    several = cut_lineage(ids.filter("__n > 1").select("__id"))
+    df = spread(df.select(id_col, text)).select(id_col, form.alias("__t"))
+    if not several.head(1):
+        return _counted(df, id_col, "__t", count, ngrams)
+    same = F.col(id_col).eqNullSafe(F.col("__id"))
+    alone = _counted(df.join(several, same, "left_anti"), id_col, "__t", count, ngrams)
+    rows = _counted(df.join(several, same, "left_semi"), id_col, "__t", count, ngrams)
+    return alone.unionByName(rows.groupBy(id_col, "term").agg(F.sum("n").alias("n")))
 
 
 def vocabulary(tc: DataFrame) -> DataFrame:
@@ -128,7 +156,10 @@ def prune_support(vocab: DataFrame, max_features: int, min_df: int = 0) -> DataF
 
 def restrict(tc: DataFrame, vocab: DataFrame) -> DataFrame:
     """Rows whose term is in the vocabulary, with its document frequency."""
-    joined = keyed_left_join(tc, vocab.select("term", "df", F.col("df").alias("__n")), ["term"], weight="__n")
+    vocab = cut_lineage(vocab.select("term", "df"))
+    if is_small(vocab, BROADCAST_BYTES):
+        return tc.join(F.broadcast(vocab), "term").select(*tc.columns, "df")
+    joined = keyed_left_join(tc, vocab.withColumn("__n", F.col("df")), ["term"], weight="__n")
     return joined.filter(F.col("df").isNotNull())
 
 

@@ -222,3 +222,31 @@ def test_padded_ids_unknown_text(spark):
 def test_union_fills_missing_columns(spark):
     a, b = spark.createDataFrame([(1, 2)], "x int, y int"), spark.createDataFrame([(3,)], "x int")
     assert sorted(map(tuple, setops.union_all([a, b]).collect()), key=repr) == [(1, 2), (3, None)]
+
+
+@pytest.mark.parametrize("analyzer, text, want", [
+    ("word", "Ab cd ab, x", {"ab": 2, "cd": 1, "ab cd": 1, "cd ab": 1}),
+    ("char", "aba", {"a": 2, "b": 1, "ab": 1, "ba": 1}),
+    ("char_wb", "a a", {" ": 4, "a": 2, " a": 2, "a ": 2}),
+])
+def test_terms_of_ids_that_repeat_are_added_up(spark, analyzer, text, want):
+    rows = [(1, text), (2, text), (2, text), (None, text), (None, text), (3, None), (4, "")]
+    df = spark.createDataFrame(rows, "id int, t string")
+    got = {(r.id, r.term): r.n for r in vec.term_counts(df, "id", "t", analyzer, (1, 2)).collect()}
+    expect = {(i, t): k * n for i, k in ((1, 1), (2, 2), (None, 2)) for t, n in want.items()}
+    if analyzer == "char":
+        expect[4, ""] = 1
+    assert got == expect
+
+
+def test_terms_of_own_ids_are_not_shuffled(spark):
+    df = spark.range(20).withColumn("t", F.lit("one two three"))
+    plan = vec.term_counts(df, "id", "t", ngrams=(1, 2))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan
+
+
+def test_restrict_to_few_terms_is_not_shuffled(spark):
+    tc = spark.createDataFrame([(1, "a", 2), (2, "b", 1), (2, "a", 1)], "id int, term string, n long")
+    out = vec.restrict(tc, spark.createDataFrame([("a", 2, 3)], "term string, df long, cf long"))
+    assert sorted(out.collect()) == [(1, "a", 2, 2), (2, "a", 1, 2)]
+    assert "rightHint=(strategy=broadcast)" in out._jdf.queryExecution().optimizedPlan().toString()
