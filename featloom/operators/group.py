@@ -44,11 +44,14 @@ def group_stats(df: DataFrame, keys: list[str], specs: list[Spec], mark: str = "
 
 def group_features(df: DataFrame, specs: list[Spec], source: DataFrame | None = None, mark: str = "") -> DataFrame:
     """Add every feature to the rows of ``df``: one aggregation per distinct key, however many
-    features share it, and one join for all keys."""
-    origin = df if source is None else source
+    features share it, and one join for all keys.
+
+    The rows and the statistics of each key are written, so no plan holds those of all keys.
+    """
+    origin = cut_lineage(df if source is None else source)
     weight = "__n" if source is None else None
-    sides = [Side(group_stats(origin, list(key), group, mark, weight), list(key), weight) for key, group in by_key(specs).items()]
-    return keyed_left_joins(df, sides)
+    sides = [Side(cut_lineage(group_stats(origin, list(key), group, mark, weight)), list(key), weight) for key, group in by_key(specs).items()]
+    return keyed_left_joins(origin if source is None else df, sides)
 
 
 # fixed values: the standing feature list of the listing tables
