@@ -1,8 +1,9 @@
 """Rows that several keys, columns or fits use are written once and dealt evenly."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from featloom.operators import group
+from featloom.operators import encode, group, models
 from featloom.plans.fusion import Spec
 
 
@@ -20,3 +21,24 @@ def test_features_of_many_keys_do_not_compute_the_rows_for_each(source):
     assert not any(folder in f for f in out.inputFiles())
     sums = {b: sum(r[3] for r in rows if r[2] == b) for b in ("b0", "b1", "b2")}
     assert {(r.b, r.b_sum_x) for r in out.collect()} == set(sums.items())
+
+
+def test_codes_of_many_columns_do_not_compute_the_rows_for_each(source):
+    df, folder, rows = source
+    out = encode.label_encode(df, ["a", "b"], "_code")
+    assert out.columns == [*df.columns, "a_code", "b_code"] and not any(folder in f for f in out.inputFiles())
+    names = sorted({r[1] or "nan" for r in rows})
+    assert {r.id: (r.a_code, r.b_code) for r in out.collect()} == {r[0]: (names.index(r[1] or "nan"), int(r[2][1])) for r in rows}
+    again = encode.label_encode(df, ["a", "b"])
+    assert again.columns == df.columns and dict(again.dtypes)["a"] == "int"
+
+
+def test_fits_read_rows_in_splits(source, monkeypatch):
+    df, _, rows = source
+    monkeypatch.setattr(models, "ROWS", 20)
+    seen = []
+    fit = models.fit_folds
+    monkeypatch.setattr(models, "fit_folds", lambda rows, *a, **b: (seen.append(rows.rdd.getNumPartitions()), fit(rows, *a, **b))[1])
+    ready = models.assemble(df.withColumns({"split": F.lit("train"), "fold": (F.col("id") % 2).cast("int")}), ["x"], "x").coalesce(1)
+    out = models.oof_predict(ready, "linear", "id", folds=2)
+    assert seen == [10] and {r.id: round(r.pred, 3) for r in out.collect()} == {r[0]: r[3] for r in rows}
