@@ -1,9 +1,12 @@
 """Rows that several keys, columns or fits use are written once and dealt evenly."""
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from featloom.operators import encode, group, models
+from featloom.operators import neighbors as nb
 from featloom.plans.fusion import Spec
 
 
@@ -42,3 +45,19 @@ def test_fits_read_rows_in_splits(source, monkeypatch):
     ready = models.assemble(df.withColumns({"split": F.lit("train"), "fold": (F.col("id") % 2).cast("int")}), ["x"], "x").coalesce(1)
     out = models.oof_predict(ready, "linear", "id", folds=2)
     assert seen == [10] and {r.id: round(r.pred, 3) for r in out.collect()} == {r[0]: r[3] for r in rows}
+
+
+def test_folds_of_a_row_share_the_distances(monkeypatch):
+    rng = np.random.default_rng(2)
+    x, y = rng.integers(0, 3, (12, 4)).astype(float), rng.integers(0, 3, (60, 4)).astype(float)
+    train = pd.DataFrame({"id": np.arange(60), "vec": list(y), "fold": np.arange(60) % 5.0})
+    query = pd.concat([pd.DataFrame({"id": np.arange(12), "vec": list(x), "fold": float(f)}) for f in range(5)], ignore_index=True)
+    compared = []
+    squares = nb._squares
+    monkeypatch.setattr(nb, "_squares", lambda a, b: (compared.append(len(a)), squares(a, b))[1])
+    found = nb._best(query, train, 3, True)
+    assert sum(compared) == len(np.unique(x, axis=0))
+    for (q, f), rows in found.groupby(["query_id", "query_fold"]):
+        dist = {i: float(np.sqrt(((x[q] - y[i]) ** 2).sum())) for i in range(60) if i != q and i % 5 != f}
+        assert list(rows.neighbour_id) == sorted(dist, key=lambda i: (dist[i], i))[:3]
+    assert len(found) == 12 * 5 * 3
