@@ -6,7 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from featloom.checks import load, registry
 from featloom.operators import blocks, topic_model, topics
+from featloom.plans import sizing
 from featloom.plans.sizing import cut_lineage
 
 
@@ -54,3 +56,16 @@ def test_rounds_join_no_cells(spark, monkeypatch):
     assert len(calls) == 2
     topics.svd_scores(tc, "id", "w", 2)
     assert len(calls) == 3
+
+
+def test_texts_of_one_file_are_dealt_out(spark, monkeypatch, tmp_path):
+    rows = [(i, f"some words {i} of text", "en", "web", 20) for i in range(500)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    load()
+    plan = lambda: registry.QUERIES["cooccurrence_counts_v14"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition 8, true" in plan()
+    monkeypatch.setattr(sizing, "SPLIT_BYTES", 100)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    assert sizing.spread(docs).rdd.getNumPartitions() > 16
+    monkeypatch.setattr(sizing, "FEW_BYTES", 100)
+    assert "Repartition" not in plan()
