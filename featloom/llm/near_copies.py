@@ -13,6 +13,11 @@ apart: in one order of all shingles, the first fifth (and one) of the shingles o
 documents that are alike have one in common.  Shingles that many such beginnings share
 come last in the order.  What meets and may be alike by its sizes and places is verified.
 
+Before shingle sets are joined with pairs, parity bits of the sets rule pairs out: each bit in
+which they differ is a shingle that only one of the two has, so no pair that is alike is lost, and
+what is joined follows the pairs near the bound and not all that meet.  Where many beginnings meet
+at one shingle, the bits are at hand and pairs are ruled out before they are written.
+
 Cases: documents of the same lower-cased words are one node; NULL and texts without
 words are alike; NULL ids stay and meet nobody; very long texts are hashed in
 pieces; an empty table gives an empty result; further columns are kept.
@@ -178,8 +183,49 @@ def beginning(found: np.ndarray, often: np.ndarray | None = None) -> np.ndarray:
     return found[: len(found) // 5 + 1]
 
 
+def parity(found: np.ndarray) -> bytes:
+    """Whether each bit is hit by an odd number of the set's shingles; two to four bits a shingle, a power of two."""
+    bits = 64
+    while bits < 2 * len(found):
+        bits *= 2
+    hit = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(hit.astype(np.uint8), bitorder="little").tobytes()
+
+
+def differing(a: np.ndarray, b: np.ndarray) -> int:
+    """At most the number of shingles that only one of two sets has; the longer parity is folded to the shorter."""
+    while len(a) != len(b):
+        a, b = (a, b) if len(a) > len(b) else (b, a)
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def _may_be_alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose differing bits do not yet rule out a similarity of 0.8."""
+    for batch in batches:
+        size = batch.column("a_size").to_numpy() + batch.column("b_size").to_numpy()
+        ends = zip(*([np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(c)] for c in ("a_bits", "b_bits")))
+        keep = [9 * differing(a, b) <= n for (a, b), n in zip(ends, size.tolist())]
+        yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+
+def possible(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (u, v) of ``nodes`` (name, size, bits) that may be alike; an id of several texts stands for all of them."""
+    for side, end in (("a", "u"), ("b", "v")):
+        edges = edges.join(nodes.select(F.col("name").alias(end), F.col("size").alias(f"{side}_size"), F.col("bits").alias(f"{side}_bits")), end)
+    edges = edges.where((4 * F.col("a_size") <= 5 * F.col("b_size")) & (4 * F.col("b_size") <= 5 * F.col("a_size")))
+    edges = edges.select("u", "v", "a_size", "b_size", "a_bits", "b_bits")
+    return edges.mapInArrow(_may_be_alike, "u long, v long").distinct()
+
+
 def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, w1, w2, fp, size, first): hashes of the lower-cased words, the fingerprint, number and beginning of the shingles."""
+    for batch in _marked(batches):
+        yield batch.drop_columns(["bits"])
+
+
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The columns of ``_marks``, and bits: the parity of the shingles."""
     for batch in batches:
         rows = []
         for t in batch.column("text"):
@@ -191,10 +237,10 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 parts.append(np.unique(hashes))
             found = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
             fp = int(np.packbits(2 * total > count, bitorder="little").view(np.int64)[0]) if count else 0
-            rows.append((*words_mark(text), fp, len(found), beginning(found).view(np.int64)))
-        columns = list(zip(*rows)) if rows else [[]] * 5
-        arrays = [*[pa.array(c, pa.int64()) for c in columns[:4]], pa.array(columns[4], pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], names=["doc_id", "w1", "w2", "fp", "size", "first"])
+            rows.append((*words_mark(text), fp, len(found), beginning(found).view(np.int64), parity(found)))
+        columns = list(zip(*rows)) if rows else [[]] * 6
+        arrays = [*[pa.array(c, pa.int64()) for c in columns[:4]], pa.array(columns[4], pa.list_(pa.int64())), pa.array(columns[5], pa.binary())]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], names=["doc_id", "w1", "w2", "fp", "size", "first", "bits"])
 
 
 def words_mark(text: pa.Buffer | bytes) -> list[int]:
@@ -223,14 +269,47 @@ def _again(often):
     return run
 
 
+class Parities:
+    """Parity bits of the rows of one unit, those of one length in one matrix."""
+
+    def __init__(self, bits: np.ndarray):
+        self.width = np.array([len(b) // 8 for b in bits])
+        self.place = np.zeros(len(bits), np.int64)
+        self.rows: dict[int, dict[int, np.ndarray]] = {}
+        for width in np.unique(self.width).tolist():
+            at = np.flatnonzero(self.width == width)
+            self.place[at] = np.arange(len(at))
+            self.rows[width] = {width: np.frombuffer(b"".join(bits[at]), np.uint64).reshape(-1, width)}
+
+    def folded(self, width: int, to: int) -> np.ndarray:
+        """The rows of one length, folded to ``to`` words."""
+        made = self.rows[width]
+        if to not in made:
+            wide = self.folded(width, 2 * to)
+            made[to] = wide[:, :to] ^ wide[:, to:]
+        return made[to]
+
+    def apart(self, i: int, others: np.ndarray) -> np.ndarray:
+        """As ``differing`` of row ``i`` and each of ``others``."""
+        out, mine = np.zeros(len(others), np.int64), int(self.width[i])
+        for width in np.unique(self.width[others]).tolist():
+            at, to = np.flatnonzero(self.width[others] == width), min(width, mine)
+            rows = self.folded(width, to)[self.place[others[at]]]
+            out[at] = np.bitwise_count(rows ^ self.folded(mine, to)[self.place[i]]).sum(1)
+        return out
+
+
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(u, v) of different roots that share a shingle and may be alike by their sizes and its places; rows come sorted by unit."""
+    """(u, v) of different roots that share a shingle and may be alike by their sizes and its places; rows come sorted by unit.
+
+    In units that come with bits, those must not rule the pair out.
+    """
 
     def fits(size: np.ndarray, at: np.ndarray, root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         left = 1 + np.minimum(size[i] - at[i] - 1, size[j] - at[j] - 1)
         return (root[i] != root[j]) & (9 * left >= 4 * (size[i] + size[j]))
 
-    for unit, name, size, at, root in whole_units(batches, "unit", "name", "size", "at", "root"):
+    for unit, name, size, at, root, bits in whole_units(batches, "unit", "name", "size", "at", "root", "bits"):
         begin = np.flatnonzero(np.diff(unit, prepend=unit[0] - 1 if unit[0] else 1))
         count = np.diff(np.append(begin, len(unit)))
         mixed = np.minimum.reduceat(root, begin) != np.maximum.reduceat(root, begin)
@@ -243,8 +322,11 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, n in zip(begin[mixed & (count > OFTEN)], count[mixed & (count > OFTEN)]):
             every = np.arange(a, a + n)
             values, where, each = np.unique(root[every], return_inverse=True, return_counts=True)
+            parities = Parities(bits[every]) if bits[a] is not None else None
             for i in every[where != each.argmax()]:  # the rest is apart from nobody else
                 j = every[fits(size, at, root, np.full(n, i), every)]
+                if parities is not None and len(j):
+                    j = j[9 * parities.apart(i - a, j - a) <= size[i] + size[j]]
                 us.append(np.full(len(j), name[i])), vs.append(name[j])
         u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (us, vs))
         pairs = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)]), axis=1)
@@ -252,7 +334,10 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def apart(texts: DataFrame, nodes: DataFrame, group: int = GROUP, often: int = OFTEN) -> DataFrame:
-    """(u, v): all pairs of ``nodes`` (w1, w2, name, size, first, root) of different roots that may be alike."""
+    """(u, v): all pairs of ``nodes`` (w1, w2, name, size, first, root) of different roots that may be alike.
+
+    With the column ``bits``, rows of shingles that more than ``often`` beginnings share take it along.
+    """
     shared = nodes.select(F.explode("first").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     shared = stored(shared.where(F.col("n") > often).select("key"), "shared")
     if shared.head(1):
@@ -261,11 +346,12 @@ def apart(texts: DataFrame, nodes: DataFrame, group: int = GROUP, often: int = O
         other = stored(other, "again")
         nodes = nodes.join(other, ["w1", "w2"], "left").withColumn("first", F.coalesce("other", "first"))
         large = other.select(F.explode("other").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-        large = stored(large.where(F.col("n") > group - often), "large")
+        large = stored(large.where(F.col("n") > min(often, group - often)), "large")
     else:
         large = shared.withColumn("n", F.lit(1).cast("long"))
-    rows = nodes.select("name", "size", "root", F.posexplode("first").alias("at", "key"))
-    rows = rows.withColumn("at", F.col("at").cast("long")).join(large, "key", "left")
+    bits = F.col("bits") if "bits" in nodes.columns else F.lit(None).cast("binary")
+    rows = nodes.select("name", "size", "root", bits.alias("bits"), F.posexplode("first").alias("at", "key"))
+    rows = rows.withColumn("at", F.col("at").cast("long")).join(large, "key", "left").withColumn("bits", F.when(F.col("n").isNotNull(), F.col("bits")))
     return units(rows, group).mapInArrow(_meet, "u long, v long").distinct()
 
 
@@ -301,16 +387,16 @@ def verified(docs: DataFrame, edges: DataFrame) -> DataFrame:
 def groups(docs: DataFrame) -> DataFrame:
     """(doc_id, component_id): each document with the smallest id of its group of near-duplicates."""
     rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    marks = stored(rows.mapInArrow(_marks, "doc_id long, w1 long, w2 long, fp long, size long, first array<long>"), "marks")
-    one = F.first(F.struct("fp", "size", "first")).alias("one")
+    marks = stored(rows.mapInArrow(_marked, "doc_id long, w1 long, w2 long, fp long, size long, first array<long>, bits binary"), "marks")
+    one = F.first(F.struct("fp", "size", "first", "bits")).alias("one")
     nodes = stored(marks.groupBy("w1", "w2").agg(F.min("doc_id").alias("name"), one).select("w1", "w2", "name", "one.*"), "nodes")
-    edges = stored(verified(docs, stored(candidates(nodes), "candidates")), "alike")
+    edges = stored(verified(docs, stored(possible(candidates(nodes), nodes), "candidates")), "alike")
 
     def rooted(edges: DataFrame) -> DataFrame:
         roots = components(edges).select(F.col("node").alias("name"), "root")
         return nodes.join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))
 
-    more = stored(apart(rows.select("text"), stored(rooted(edges), "rooted")), "apart")
+    more = stored(possible(apart(rows.select("text"), rooted(edges)), nodes), "apart")
     more = stored(verified(docs, more), "more")
     named = rooted(edges.unionByName(more)).select("w1", "w2", F.col("root").alias("component_id"))
     return marks.select("doc_id", "w1", "w2").join(named, ["w1", "w2"]).select("doc_id", "component_id")

@@ -141,3 +141,52 @@ def test_marks_are_fingerprints_of_the_text():
     (out,) = near_copies._marks(iter([batch]))
     assert out.column("fp").to_pylist() == [near_copies.fingerprint((t or "").encode(), 5) for t in texts]
     assert out.column("size").to_pylist()[:3] == [0, 0, 1]
+
+
+def test_parity_rules_out_pairs_and_none_that_is_alike(spark):
+    rng = np.random.default_rng(4)
+    sets, rows = {}, []
+    for d in range(0, 240, 2):
+        size = int(rng.integers(1, 900))
+        one = rng.integers(0, 2**63, size, dtype=np.uint64)
+        gone = int(size * rng.choice([0.05, 0.1, 0.12, 0.5]))
+        other = np.concatenate([one[gone:], rng.integers(0, 2**63, int(rng.integers(0, gone + 1)), dtype=np.uint64)])
+        for k, found in ((d, one), (d + 1, other)):
+            sets[k] = set(found.tolist())
+            rows.append((k, len(found), near_copies.parity(np.sort(found))))
+    nodes = spark.createDataFrame(rows, "name long, size long, bits binary").repartition(3)
+    pairs = [(a, b) for a in sets for b in sets if a < b]
+    found = {(r.u, r.v) for r in near_copies.possible(spark.createDataFrame(pairs, "u long, v long"), nodes).collect()}
+    want = {(a, b) for a, b in pairs if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
+    fair = {(a, b) for a, b in pairs if 4 * len(sets[a]) <= 5 * len(sets[b]) and 4 * len(sets[b]) <= 5 * len(sets[a])}
+    assert len(want) > 40 and want <= found and len(found & fair) < 2 * len(want)
+    # an id of two texts keeps a pair that one of them may form
+    twice = spark.createDataFrame([(1, 1, near_copies.parity(np.array([5], np.uint64))), *[(k, 200, near_copies.parity(np.arange(k, k + 200, dtype=np.uint64))) for k in (1, 2)]], nodes.schema)
+    assert [tuple(r) for r in near_copies.possible(spark.createDataFrame([(1, 2)], "u long, v long"), twice).collect()] == [(1, 2)]
+
+
+def test_bits_of_a_unit_are_those_of_its_pairs():
+    rng = np.random.default_rng(5)
+    bits = [near_copies.parity(rng.integers(0, 2**63, n, dtype=np.uint64)) for n in (1, 20, 40, 100, 300, 300, 310, 900)]
+    held = near_copies.Parities(np.array(bits, object))
+    for i, one in enumerate(bits):
+        want = [near_copies.differing(np.frombuffer(one, np.uint64), np.frombuffer(b, np.uint64)) for b in bits]
+        assert held.apart(i, np.arange(len(bits))).tolist() == want
+
+
+def test_pairs_of_one_common_passage_are_ruled_out_where_they_meet(spark):
+    """A group of texts with one passage in common writes no pair for each two of them."""
+    rng = random.Random(8)
+    passage = [f"s{i}" for i in range(120)]
+    texts = {d: " ".join(passage + [f"w{rng.randrange(10**6)}" for _ in range(100)]) for d in range(1, 201)}
+    texts[500] = texts[7] + " end"
+    docs = spark.createDataFrame([(d, t, None, None, None) for d, t in texts.items()], DOCS).repartition(4)
+    marks = docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
+        near_copies._marked, "doc_id long, w1 long, w2 long, fp long, size long, first array<long>, bits binary"
+    )
+    # all shingles are as if in the often part: beginnings are of the passage's alone
+    nodes = marks.withColumn("name", F.col("doc_id")).withColumn("root", F.col("doc_id")).withColumn("at", F.lit(0).cast("long"))
+    rows = nodes.select("name", "size", "root", "bits", "at", F.lit(1).cast("long").alias("unit")).sortWithinPartitions("unit").coalesce(1)
+    plain = rows.withColumn("bits", F.lit(None).cast("binary"))
+    found, every = ({(r.u, r.v) for r in x.mapInArrow(near_copies._meet, "u long, v long").collect()} for x in (rows, plain))
+    assert found == {(7, 500)} and len(every) > 10_000
