@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from featloom.checks import learners, load, registry
 from featloom.operators import models as mo
 from featloom.operators import neighbors as nb
 from featloom.operators import topics
@@ -209,6 +210,23 @@ def test_class_probabilities_out_of_fold(classed):
         assert r.pred == r.id % 12 // 4 == int(np.argmax([r.p0, r.p1, r.p2]))
 
 
+def test_multiclass_query_cuts_no_rounds_off(spark, monkeypatch):
+    """Only the error of the left-out fold ends the boosting; a handful of flat trees is not the whole job."""
+    load()
+    given: dict = {}
+    monkeypatch.setattr(learners, "_features", lambda t, label: None)
+    monkeypatch.setattr(mo, "multiclass_oof", lambda *a, **k: given.update(k) or spark.range(1).selectExpr("id item_id", "0d p0", "0d p1", "0d p2", "0 pred"))
+    registry.QUERIES["multiclass_boosting_o5"](spark, "")
+    assert given["early_stopping"] and given["maxIter"] >= 20_000 and given["maxDepth"] >= 5
+
+
+def test_early_stopping_with_a_fold_without_rows(classed):
+    models: list = []
+    rows = classed.filter("fold <> 3")
+    mo.oof_predict(rows, "gbt", "id", early_stopping=True, models_out=models, maxIter=8, maxDepth=1, validationTol=0.9, seed=1)
+    assert len(models) == 5 and all(m.getNumTrees < 8 for m in models)
+
+
 def test_early_stopping_uses_the_left_out_fold(spark):
     """Labels without signal: few trees are added when the error of the left-out fold counts."""
     rng = np.random.default_rng(3)
