@@ -265,3 +265,12 @@ def test_more_than_a_hundred_classes(spark):
     df = spark.createDataFrame(rows, "id long, y string, x double")
     out = mo.predict_targets(df, df, {"y": ("forest_class", {"numTrees": 1, "maxDepth": 1, "seed": 1})}, [], ["x"], "id")
     assert out.filter("y_pred IS NOT NULL").count() == 300
+
+
+def test_class_choice_reads_no_number_for_each_class(spark):
+    """Rows are scored once and written; the plan that is left has no model, and no array of a number for each class."""
+    rows = [(i, f"c{i % 9}", float(i % 9)) for i in range(90)]
+    df = spark.createDataFrame(rows, "id long, y string, x double")
+    out = mo.predict_targets(df, df, {"y": ("forest_class", {"numTrees": 3, "seed": 1})}, [], ["x"], "id")
+    assert "UDF" not in out._jdf.queryExecution().toString()
+    assert sum(r.y_pred == rows[r.id][1] for r in out.collect()) > 80
