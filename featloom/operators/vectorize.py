@@ -7,6 +7,7 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +23,8 @@ from featloom.plans.skew import keyed_left_join
 ROWS = 100_000
 # a vocabulary of files up to this size is broadcast whole
 BROADCAST_BYTES = 4 * 1024 * 1024
+# buckets up to this number are marked by a bit each (16 MB)
+MARKED = 2**27
 
 
 def word_ngrams(tokens: list[str], sizes: tuple[int, int]) -> list[str]:
@@ -241,11 +244,31 @@ def hash_terms(
     out = rows.groupBy(id_col, "bucket").agg(combine.alias("w"))
     if min_support is None:
         return out
-    support = out.groupBy("bucket").agg(F.count(F.lit(1)).alias("__s"), F.count(F.lit(1)).alias("__n"))
-    joined = keyed_left_join(out, support, ["bucket"], weight="__n")
+    out = cut_lineage(out)
+    support = out.groupBy("bucket").agg(F.count(F.lit(1)).alias("__s"))
+    if n_features <= MARKED:
+        return _marked(out, support.filter(F.col("__s") > min_support), n_features)
+    joined = keyed_left_join(out, support.withColumn("__n", F.col("__s")), ["bucket"], weight="__n")
     return joined.filter(F.col("__s") > min_support).drop("__s")
 
 
+def _marked(rows: DataFrame, kept: DataFrame, n_features: int) -> DataFrame:
+    """The ``rows`` whose bucket is among ``kept``, by a broadcast of one bit for each bucket; no row is shuffled."""
+    one = F.expr("shiftleft(1L, bucket & 63)")
+    table = kept.groupBy(F.shiftright("bucket", 6).alias("at")).agg(F.bit_or(one).alias("bits")).toPandas()
+    marks = np.zeros(-(-n_features // 64), np.uint64)
+    marks[table["at"].to_numpy(np.int64)] = table["bits"].to_numpy(np.int64).view(np.uint64)
+    known = rows.sparkSession.sparkContext.broadcast(marks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bucket = batch.column(batch.schema.get_field_index("bucket")).to_numpy(zero_copy_only=False).astype(np.uint64)
+            found = known.value[bucket >> np.uint64(6)] >> (bucket & np.uint64(63)) & np.uint64(1)
+            yield batch.filter(pa.array(found.astype(bool)))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def word_index(df: DataFrame, text: str, num_words: int) -> DataFrame:
     """(term, code, n): codes 1 .. num_words - 1 by frequency n, ties by term."""
     tokens = df.select(F.explode(sequence_tokens(F.col(text))).alias("term"))

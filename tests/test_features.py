@@ -250,3 +250,17 @@ def test_restrict_to_few_terms_is_not_shuffled(spark):
     out = vec.restrict(tc, spark.createDataFrame([("a", 2, 3)], "term string, df long, cf long"))
     assert sorted(out.collect()) == [(1, "a", 2, 2), (2, "a", 1, 2)]
     assert "rightHint=(strategy=broadcast)" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rare_buckets_go_without_a_shuffle_of_rows(spark):
+    """Buckets of three documents or fewer go; the plan that drops them only reads what was written."""
+    rows = [(i, f"t{j}", 2) for i in range(40) for j in range(12) if i % (j + 1) == 0] + [(None, "t0", 1)]
+    tc = spark.createDataFrame(rows, "id long, term string, n long")
+    every = vec.hash_terms(tc, "id", 100).collect()
+    for buckets in (100, 2**28):
+        out = vec.hash_terms(tc, "id", buckets, min_support=5)
+        assert ("Exchange" in out._jdf.queryExecution().toString()) == (buckets > 2**27)
+    out = vec.hash_terms(tc, "id", 100, min_support=5)
+    size = {b: sum(r.bucket == b for r in every) for b in range(100)}
+    assert sorted(map(str, out.collect())) == sorted(str(r) for r in every if size[r.bucket] > 5)
+    assert 0 < out.count() < len(every)
